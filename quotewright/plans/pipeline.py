@@ -14,7 +14,7 @@ from quotewright.operators.incremental import refreshed_metrics
 from quotewright.operators.metrics import MetricWindows
 from quotewright.operators.quality import quality_checks, quality_report, require_passed
 from quotewright.schemas import LISTING_RECORD, MASTER_ATTRIBUTES, QUALITY_LOG, SILVER_KEY
-from quotewright.sinks import append_rows, compact, overwrite_table, replace_partitions, upsert
+from quotewright.sinks import append_rows, overwrite_table, replace_partitions, upsert
 from quotewright.sinks.tables import finish_pending, scratch_dir
 from quotewright.sources.catalog import TableNames, current_table, ensure_schemas, table_exists
 from quotewright.sources.landing import read_records, split_records, with_audit
@@ -175,8 +175,9 @@ def run(
 ) -> PipelineResult:
     """Load what is new and bring every table up to date.
 
-    The first run loads all landed files, compacts the raw table and builds
-    Gold; later ones load the new files and refresh Gold from the change queue.
+    The first run loads all landed files and builds Gold; later ones load the new
+    files and refresh Gold from the change queue. Every write lays its partitions
+    out in sorted, well-sized files, so no separate compaction step is needed.
     The checks run before Gold, on the days that changed. The queue is emptied
     last, so a run that stops half-way is completed by the next one.
     ``refresh_master`` lets the caller refresh the listing less often.
@@ -200,8 +201,6 @@ def run(
     )
     if not table_exists(spark, names.pending_changes):
         raise ValueError(f"no usable quotes have landed in {config.quotes_path}")
-    if first_run:
-        compact(spark, names.bronze_quotes, "Date", ["Code"])
 
     gold_exists = table_exists(spark, names.sectors)
     queue = current_table(spark, names.pending_changes)

@@ -18,6 +18,8 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__sql__warehouse__dir=warehouse,
         spark__driver__memory="6g",
+        # Many small day partitions: list them without starting a job.
+        spark__sql__sources__parallelPartitionDiscovery__threshold="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -14,7 +14,8 @@ from quotewright.sources import derived
 from quotewright.sources.catalog import TableNames, list_tables, table_exists
 
 SF = "/root/testdata/sf0.001"
-CUTS = ("2001-06-01", "2001-10-20")
+SINCE = "2001-09-10"
+CUTS = ("2001-10-01", "2001-10-20")
 
 
 def same_rows(left, right):
@@ -38,7 +39,7 @@ def land(df, folder, name, layout="lines"):
 
 @pytest.fixture(scope="module")
 def records(spark):
-    df = derived.quote_records(spark, SF).persist()
+    df = derived.quote_records(spark, SF).filter(F.col("Date") >= SINCE).persist()
     df.count()
     return df
 
@@ -88,7 +89,7 @@ def test_runs_equal_a_rebuild(spark, folder, records, listing, layout):
     assert run(spark, config).mode == "up_to_date"
 
     # A correction of old days and the remaining days arrive together.
-    corrected = records.filter("Date between '2001-03-01' and '2001-03-12'")
+    corrected = records.filter("Date between '2001-09-20' and '2001-09-27'")
     corrected = corrected.withColumn("AdjustmentClose", F.col("AdjustmentClose") + 1)
     land(corrected, config.quotes_path, "correction", layout)
     land(records.filter(F.col("Date") > CUTS[1]), config.quotes_path, "rest", layout)
@@ -119,23 +120,23 @@ def test_gate_stops_gold_but_keeps_the_log(spark, folder, records, listing):
     names = names_for("gate")
     config = PipelineConfig(f"{folder}/quotes", f"{folder}/listing", names=names, checkpoint=f"{folder}/cp")
     land(listing, config.listing_path, "a")
-    bad = records.filter("Date < '1995-03-01'").withColumn("AdjustmentHigh", F.col("AdjustmentLow") - 1)
+    bad = records.filter("Date < '2001-09-20'").withColumn("AdjustmentHigh", F.col("AdjustmentLow") - 1)
     land(bad, config.quotes_path, "bad")
     with pytest.raises(QualityGateError, match="high_gte_low"):
         run(spark, config)
     assert not table_exists(spark, names.metrics)
     assert spark.table(names.quality_log).filter("not passed").count() == 1
     # The corrected file completes what the failed run left open.
-    land(records.filter("Date < '1995-03-01'"), config.quotes_path, "good")
+    land(records.filter("Date < '2001-09-20'"), config.quotes_path, "good")
     run(spark, config)
-    check_gold(spark, names, records.filter("Date < '1995-03-01'"), listing)
+    check_gold(spark, names, records.filter("Date < '2001-09-20'"), listing)
 
 
 def test_rejects_are_kept(spark, folder, records, listing):
     names = names_for("rej")
     config = PipelineConfig(f"{folder}/quotes", f"{folder}/listing", names=names, checkpoint=f"{folder}/cp")
     land(listing, config.listing_path, "a")
-    good = records.filter("Date < '1995-02-01'")
+    good = records.filter("Date < '2001-09-20'")
     land(good, config.quotes_path, "good")
     lines = [
         '{"Date": "1995-13-01", "Code": "1", "AdjustmentClose": 1.0}',
