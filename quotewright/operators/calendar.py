@@ -25,7 +25,8 @@ def high_water_mark(bronze: DataFrame) -> DataFrame:
 
 def history_span(bronze: DataFrame) -> DataFrame:
     """First and last loaded day as one (date_from, date_to) row."""
-    return bronze.agg(as_date(F.min("Date")).alias("date_from"), as_date(F.max("Date")).alias("date_to"))
+    ends = bronze.agg(F.min("Date").alias("first"), F.max("Date").alias("last"))
+    return ends.select(as_date("first").alias("date_from"), as_date("last").alias("date_to"))
 
 
 def _with_request_dates(ranges: DataFrame) -> DataFrame:

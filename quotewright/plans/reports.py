@@ -53,6 +53,7 @@ def daily_ingest_counts(bronze: DataFrame, days: int = 30) -> DataFrame:
         .groupBy(F.col("Date").alias("trade_date"))
         .agg(F.count(F.lit(1)).alias("record_count"), F.countDistinct("Code").alias("stock_count"))
         .orderBy(_down("trade_date"))
+        .limit(days)
     )
 
 
