@@ -6,7 +6,7 @@ instrument, each ship date a trading day, each line item a trade.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.schemas import LISTING_RECORD, QUOTE_RECORD
@@ -28,7 +28,11 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")).alias("seq"),
     )
-    money = "decimal(18,2)"
+
+    def total(amount: Column) -> Column:
+        """Exact sum of two-decimal amounts, added up as whole hundredths."""
+        return F.sum(F.floor(amount * 100 + 0.5)) / 100
+
     return (
         trades.groupBy("trade_date", "instrument")
         .agg(
@@ -36,8 +40,8 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("price").alias("high"),
             F.min("price").alias("low"),
             F.max_by("price", "seq").alias("close"),
-            F.sum(F.col("quantity").cast(money)).cast("double").alias("volume"),
-            F.sum((F.col("price") * F.col("quantity")).cast(money)).cast("double").alias("turnover_value"),
+            total(F.col("quantity")).alias("volume"),
+            total(F.col("price") * F.col("quantity")).alias("turnover_value"),
         )
         .withColumn("code", F.col("instrument").cast("string"))
         .drop("instrument")

@@ -66,9 +66,9 @@ def check_gold(spark, names, records, listing):
     assert same_rows(rounded(spark.table(names.sectors)), rounded(sectors))
 
 
-@pytest.mark.parametrize("layout", ["lines", "array"])
-def test_runs_equal_a_rebuild(spark, folder, records, listing, layout):
-    names = names_for(f"inc_{layout}")
+def test_runs_equal_a_rebuild(spark, folder, records, listing):
+    # Array files, the layout an outside fetcher writes one month at a time.
+    names, layout = names_for("inc"), "array"
     config = PipelineConfig(f"{folder}/quotes", f"{folder}/listing", layout, names, checkpoint=f"{folder}/cp")
     land(listing, config.listing_path, "all", layout)
     land(records.filter(F.col("Date") < CUTS[0]), config.quotes_path, "history", layout)
@@ -83,7 +83,8 @@ def test_runs_equal_a_rebuild(spark, folder, records, listing, layout):
     land(records.filter(F.col("Date").between(*CUTS)), config.quotes_path, "next", layout)
     second = run(spark, config, ingestion_date="2001-10-21")
     assert second.mode == "incremental"
-    assert 0 < second.gold_rows["stock_metrics"] < first.gold_rows["stock_metrics"]
+    # Only bars from the new days on were recomputed.
+    assert 0 < second.gold_rows["stock_metrics"] < spark.table(names.metrics).count()
     check_gold(spark, names, records.filter(F.col("Date") <= CUTS[1]), listing)
 
     assert run(spark, config).mode == "up_to_date"
