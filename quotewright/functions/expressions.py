@@ -44,6 +44,11 @@ def rows_back(history: WindowSpec, rows: int) -> WindowSpec:
     return history.rowsBetween(1 - rows, Window.currentRow)
 
 
+def rows_so_far(history: WindowSpec) -> WindowSpec:
+    """Frame of everything up to the current row."""
+    return history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def trailing_extreme(
     history: WindowSpec,
     rows: int,

@@ -130,8 +130,8 @@ def refresh_gold(
 ) -> dict[str, int]:
     """Bring Gold up to date with the queued changes only.
 
-    Same tables as ``build_gold``, but only the bars from each code's first
-    changed day on are recomputed and only the days they fall on are rewritten.
+    Same tables as ``build_gold``, but only the bars that a change can affect are
+    recomputed and only the days they fall on are rewritten.
     A changed listing touches every day, so it rewrites the joined tables.
     """
     for table in (names.metrics, names.stocks, names.sectors):
@@ -141,7 +141,7 @@ def refresh_gold(
     quotes = queue.filter(F.col("kind") != LISTING_CHANGE)
 
     refreshed = refreshed_metrics(current_table(spark, names.silver_quotes), quotes, windows)
-    written = upsert(_stamped(refreshed, "_gold_updated_at"), names.metrics, SILVER_KEY, DAY)
+    written = upsert(_stamped(refreshed, "_gold_updated_at"), names.metrics, SILVER_KEY, DAY, unique=True)
     rows = {"stock_metrics": written.rows}
     if listing_changed:
         return rows | _build_joined(spark, names, windows)

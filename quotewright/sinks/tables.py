@@ -162,10 +162,12 @@ def upsert(
     keys: Sequence[str],
     partition_by: str | None = None,
     newest_by: Sequence[str] = (),
+    unique: bool = False,
 ) -> Written:
     """Create the table from ``source``, or update and insert its rows by key.
 
-    The newest of several source rows with one key wins. Rows with a null key
+    The newest of several source rows with one key wins; ``unique`` says there
+    are none and saves that exchange. Rows with a null key
     can never match and are left out; the landing scan reports them. When the
     partition column is one of the keys only the partitions present in the
     source are read and rewritten.
@@ -173,7 +175,9 @@ def upsert(
     if partition_by and partition_by not in keys:
         raise ValueError("the partition column must be a key, or a row could change partition")
     spark = source.sparkSession
-    fresh = latest_per_key(source.dropna(subset=list(keys)), keys, newest_by)
+    fresh = source.dropna(subset=list(keys))
+    if not unique:
+        fresh = latest_per_key(fresh, keys, newest_by)
 
     if not table_exists(spark, table):
         return Written(overwrite_table(fresh, table, partition_by, keys))

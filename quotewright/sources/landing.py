@@ -64,8 +64,12 @@ def stream_records(
 
 
 def quotes_from_text(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Quote records from a column that already holds one JSON object per row."""
-    return lines.select(F.from_json(column, QUOTE_RECORD).alias("record")).select("record.*")
+    """Quote records from a column that already holds one JSON object per row.
+
+    ``inline`` keeps later filters above the parse; as a plain projection Spark
+    would copy the parse into each of them and run it several times per row.
+    """
+    return lines.select(F.inline(F.array(F.from_json(column, QUOTE_RECORD))))
 
 
 def listing_from_rows(spark: SparkSession, rows: Iterable[Mapping[str, str]]) -> DataFrame:

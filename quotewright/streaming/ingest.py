@@ -32,7 +32,7 @@ class Loaded:
 
 
 def record_changes(changes: DataFrame, kind: str, names: TableNames) -> None:
-    """Queue (code, first changed day) for the next Gold refresh."""
+    """Queue changed codes, with their first and last changed day, for the next Gold refresh."""
     queued = changes.select(F.lit(kind).alias("kind"), "code", "trade_date")
     append_rows(queued, names.pending_changes)
 
@@ -44,18 +44,19 @@ def load_quotes(
 
     Loading the same records again leaves both tables unchanged, so a replayed
     batch is harmless. The change queue and the reject table may then hold a row
-    twice; readers of the queue only take minima.
+    twice; readers of the queue only take minima and maxima.
     """
     accepted, rejected = split_records(with_audit(records, ingestion_date))
     # Both tables must agree on the winner among copies, so pick it once.
     batch = latest_per_key(accepted, QUOTE_KEY, NEWEST_BY).persist()
     try:
-        bronze = upsert(batch, names.bronze_quotes, QUOTE_KEY, "Date", NEWEST_BY)
+        bronze = upsert(batch, names.bronze_quotes, QUOTE_KEY, "Date", unique=True)
         cleansed = quotes_to_silver(batch).withColumn("_silver_updated_at", F.current_timestamp())
-        silver = upsert(cleansed, names.silver_quotes, SILVER_KEY, "trade_date", ("_ingestion_date",))
+        silver = upsert(cleansed, names.silver_quotes, SILVER_KEY, "trade_date", unique=True)
         if silver.rows:
-            first_days = cleansed.groupBy("code").agg(F.min("trade_date").alias("trade_date"))
-            record_changes(first_days, QUOTE_CHANGE, names)
+            ends = F.array_distinct(F.array(F.min("trade_date"), F.max("trade_date")))
+            spans = cleansed.groupBy("code").agg(ends.alias("ends"))
+            record_changes(spans.select("code", F.explode("ends").alias("trade_date")), QUOTE_CHANGE, names)
     finally:
         batch.unpersist()
     refused = rejected.count()
