@@ -46,7 +46,9 @@ def load_quotes(
     batch is harmless. The change queue and the reject table may then hold a row
     twice; readers of the queue only take minima and maxima.
     """
-    accepted, rejected = split_records(with_audit(records, ingestion_date))
+    # Accepted and rejected records come from one parse of the files.
+    audited = with_audit(records, ingestion_date).persist()
+    accepted, rejected = split_records(audited)
     # Both tables must agree on the winner among copies, so pick it once.
     batch = latest_per_key(accepted, QUOTE_KEY, NEWEST_BY).persist()
     try:
@@ -57,11 +59,12 @@ def load_quotes(
             ends = F.array_distinct(F.array(F.min("trade_date"), F.max("trade_date")))
             spans = cleansed.groupBy("code").agg(ends.alias("ends"))
             record_changes(spans.select("code", F.explode("ends").alias("trade_date")), QUOTE_CHANGE, names)
+        refused = rejected.count()
+        if refused:
+            append_rows(rejected, names.rejected_records)
     finally:
         batch.unpersist()
-    refused = rejected.count()
-    if refused:
-        append_rows(rejected, names.rejected_records)
+        audited.unpersist()
     return Loaded(bronze.rows, silver.rows, refused)
 
 

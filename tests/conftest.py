@@ -22,6 +22,8 @@ def spark():
         spark__sql__sources__parallelPartitionDiscovery__threshold="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
+    # Plans are compared as text; do not cut their filter lists short.
+    session.conf.set("spark.sql.maxMetadataStringLength", "5000")
     yield session
     session.stop()
 
