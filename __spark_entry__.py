@@ -7,13 +7,17 @@ here, and only here, because engines add doubles in different orders.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import oracles
-from quotewright.operators import (
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import oracles  # noqa: E402
+from quotewright.operators import (  # noqa: E402
     MetricWindows,
     attach_master,
     latest_per_key,
@@ -22,13 +26,13 @@ from quotewright.operators import (
     sector_summary,
     stock_metrics,
 )
-from quotewright.operators import calendar, quality
-from quotewright.operators.incremental import refreshed_metrics
-from quotewright.plans import reports
-from quotewright.schemas import LISTING_RECORD, QUOTE_KEY, QUOTE_RECORD, SILVER_KEY, SILVER_QUOTE_FIELDS
-from quotewright.sinks import merge_rows
-from quotewright.sources import derived
-from quotewright.sources.landing import quotes_from_text, split_records, with_audit
+from quotewright.operators import calendar, quality  # noqa: E402
+from quotewright.operators.incremental import refreshed_metrics  # noqa: E402
+from quotewright.plans import reports  # noqa: E402
+from quotewright.schemas import LISTING_RECORD, QUOTE_KEY, QUOTE_RECORD, SILVER_KEY, SILVER_QUOTE_FIELDS  # noqa: E402
+from quotewright.sinks import merge_rows  # noqa: E402
+from quotewright.sources import derived  # noqa: E402
+from quotewright.sources.landing import quotes_from_text, split_records, with_audit  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 class TableNames:
     """Where the pipeline keeps its tables; each schema may carry a catalog prefix."""
 
+    # The table names that reports and users query.
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"

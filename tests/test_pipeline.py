@@ -133,6 +133,23 @@ def test_gate_stops_gold_but_keeps_the_log(spark, folder, records, listing):
     check_gold(spark, names, records.filter("Date < '2001-09-20'"), listing)
 
 
+def test_several_batches_in_one_run(spark, folder, records, listing):
+    names = names_for("many")
+    config = PipelineConfig(
+        f"{folder}/quotes", f"{folder}/listing", names=names, checkpoint=f"{folder}/cp", max_files_per_batch=1
+    )
+    some = records.filter("Date < '2001-09-24'")
+    land(listing, config.listing_path, "a")
+    land(some.filter("Date < '2001-09-18'"), config.quotes_path, "1")
+    # Overlaps both neighbours, so batches update what others inserted.
+    land(some.filter("Date between '2001-09-15' and '2001-09-20'"), config.quotes_path, "2")
+    land(some.filter("Date >= '2001-09-18'"), config.quotes_path, "3")
+    result = run(spark, config)
+    assert result.mode == "initial" and result.loaded.bronze_rows > some.count()
+    assert same_rows(spark.table(names.bronze_quotes).select(records.columns), some)
+    check_gold(spark, names, some, listing)
+
+
 def test_rejects_are_kept(spark, folder, records, listing):
     names = names_for("rej")
     config = PipelineConfig(f"{folder}/quotes", f"{folder}/listing", names=names, checkpoint=f"{folder}/cp")
