@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -174,8 +175,25 @@ def _report(source: Query, report: Callable[..., DataFrame], round_metrics: bool
     return run
 
 
+def _training_data() -> list:
+    """The modules with further queries, if that part of the library is there."""
+    if not find_spec("quotewright.llm") or not find_spec("corpus_pipeline"):
+        return []
+    import corpus_pipeline
+    from quotewright.llm import queries as training
+
+    return [training, corpus_pipeline]
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator and report."""
+    found = _market_queries()
+    for module in _training_data():
+        found |= module.queries()
+    return found
+
+
+def _market_queries() -> dict[str, Query]:
     checked_at = "2000-06-30 07:00:00"
     return {
         "bronze_quotes": bronze_quotes,
@@ -230,8 +248,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every registered query."""
-    return oracles.all_statements()
+    """DuckDB SQL for every registered query that SQL can express."""
+    found = oracles.all_statements()
+    for module in _training_data():
+        found |= module.oracle_sql()
+    return found
 
 
 def entry(spark: SparkSession) -> DataFrame:
