@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.llm import bpe, chat, mixing, pii
+from quotewright.llm import bpe, chat, minhash, mixing, pii, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.with_near(simhash.edited_fingerprints(_table(spark, sf_dir, "documents")))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +36,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +54,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_mixing, op5_bpe, op8_pii, op9_chat)}
+    return {f.__name__: f for f in (op3_mixing, op4_simhash, op5_bpe, op7_minhash, op8_pii, op9_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
