@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.llm import bpe, chat, minhash, mixing, pii, simhash
+from quotewright.llm import annsearch, bpe, chat, linedup, minhash, mixing, pii, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annsearch.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies"
@@ -53,9 +57,13 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns.unionByName(planted)))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.line_digests(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_mixing, op4_simhash, op5_bpe, op7_minhash, op8_pii, op9_chat)}
+    return {f.__name__: f for f in (op2_ann, op3_mixing, op4_simhash, op5_bpe, op7_minhash, op8_pii, op9_chat, op10_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_lines": linedup.ORACLE_SQL}
