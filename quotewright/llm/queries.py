@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.llm import annsearch, bpe, chat, linedup, minhash, mixing, pii, simhash
+from quotewright.llm import annsearch, bpe, chat, linedup, minhash, mixing, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annsearch.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -62,7 +66,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_ann, op3_mixing, op4_simhash, op5_bpe, op7_minhash, op8_pii, op9_chat, op10_lines)}
+    return {f.__name__: f for f in (op1_toxicity, op2_ann, op3_mixing, op4_simhash, op5_bpe, op7_minhash, op8_pii, op9_chat, op10_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
