@@ -1,14 +1,76 @@
-"""Corpus preparation: toxicity, line dedup, near-dedup, mixing, tokens."""
+"""Corpus preparation in five stages, each on what the one before has kept.
+
+    toxicity      documents whose calibrated score reaches the threshold go
+    line dedup    later copies of repeated line runs are cut out; documents left without a line go
+    near-dedup    one document of each group stays, the one with the smallest id
+    mixing        each document is repeated or left out so that sources meet their targets
+    tokens        byte-level BPE ids of every row
+
+A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame with the columns
+of ``docs``, the last one with ``token_ids`` and ``n_tokens`` as well. ``run``
+writes each stage's rows to the shared folder and reads them for the next. A
+repeated document comes out of the mix as that many equal rows.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quotewright.llm import bpe, linedup, minhash, mixing, toxicity
+from quotewright.llm.scratch import written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scores = toxicity.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.join(scores.filter("predicted = 1").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cleaned = linedup.deduplicated(docs)
+    kept = cleaned.filter((F.size("deleted") == 0) | (F.size("deleted") < F.col("n_lines")))
+    columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns]
+    return kept.select(columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = minhash.near_duplicates(docs)
+    return docs.join(groups.filter("not kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoded.withColumn("n_tokens", F.size("token_ids").cast("long"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("near-dedup", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("tokens", tokenize),
+]
+
+#: Trees, components and dependent rounding have no SQL form; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return docs
+
+
 def queries() -> dict:
-    return {}
+    return {"pipeline": run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

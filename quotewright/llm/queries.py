@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.llm import annsearch, bpe, chat, linedup, minhash, mixing, pii, simhash, toxicity
+from quotewright.llm import annsearch, bpe, chat, linedup, minhash, mixing, passages, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -66,7 +70,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_ann, op3_mixing, op4_simhash, op5_bpe, op7_minhash, op8_pii, op9_chat, op10_lines)}
+    return {f.__name__: f for f in (op1_toxicity, op2_ann, op3_mixing, op4_simhash, op5_bpe, op6_passages, op7_minhash, op8_pii, op9_chat, op10_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
