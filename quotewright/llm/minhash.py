@@ -13,9 +13,11 @@ class is compared. Copies never become pairs.
 
 Candidates: signatures are cut into BANDS bands of ROWS places. At similarity
 0.75 a pair shares no band with a probability of 5e-6. In each bucket everyone
-is compared with the smallest member only. Members that are connected need no
+is compared with its leader only: the member that meets most others over all
+its buckets, for the text that a group's copies were made from is nearer to
+each copy than they are to one another. Members that are connected need no
 more work. Where a bucket still joins unconnected members, their pairs are
-compared too, unless sizes or the distances to the smallest member (Jaccard
+compared too, unless sizes or the distances to the leader (Jaccard
 distance is a metric) prove them too far apart. So no pair that shares a band
 is left undecided, and a large group costs one comparison for each member.
 
@@ -158,8 +160,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = written(described.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = described.select("doc_id", "n", "bands").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     keys = written(reps.select("doc_id", "n", F.explode("bands").alias("key")).distinct(), "bands")
-    buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("leader")).filter("size > 1")
-    members = written(keys.join(buckets.select("key", "leader"), "key"), "buckets")
+    shared = keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    met = written(keys.join(shared, "key"), "shared-bands")
+    central = met.groupBy("doc_id").agg(F.sum("size").alias("meets"))
+    ranked = met.join(central, "doc_id").withColumn("order", F.struct(-F.col("meets"), F.col("doc_id").alias("doc_id")))
+    leaders = ranked.groupBy("key").agg(F.min("order").getField("doc_id").alias("leader"))
+    members = written(met.drop("size").join(leaders, "key"), "buckets")
 
     needed = members.select("doc_id").distinct()
     sets = written(texts.join(needed, "doc_id", "left_semi").distinct().mapInArrow(_as_arrays, "doc_id long, items array<long>"), "sets")
@@ -174,16 +180,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     apart = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     far = stars.select(F.col("a").alias("doc_id"), F.col("b").alias("leader"), (1 - F.col("shared") / F.col("total")).alias("d"))
-    still = named.join(apart, "key", "left_semi").join(far, ["doc_id", "leader"])
+    still = named.join(apart, "key", "left_semi").join(far, ["doc_id", "leader"])  # a leader's own pairs are done
+    still = still.join(sets, "doc_id").join(described.select("doc_id", "bands").distinct(), "doc_id")
     left, right = still.alias("x"), still.alias("y")
     slack = 1 - percent / 100 + 1e-9
-    met = (
+    # Compared within the join, in the first bucket that a pair shares: only links become rows.
+    shared_items = F.size(F.array_intersect("x.items", "y.items"))
+    close = (
         (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") > F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component"))
         & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & (F.abs(F.col("x.d") - F.col("y.d")) <= slack)
+        & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key"))
+        & (100 * shared_items >= percent * (F.col("x.n") + F.col("y.n") - shared_items))
     )
-    others = left.join(right, met).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
-    crossing = written(_compared(others.join(stars, ["a", "b"], "left_anti"), sets), "crossing")
-    links = links.union(crossing.filter(linked).select("a", "b"))
+    crossing = written(left.join(right, close).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "crossing")
+    links = links.union(crossing)
     final = components(links).withColumnRenamed("node", "rep")
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
 

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Shuffle files of a query go when it ends, instead of when the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster; a folder of this machine only where none is set, as in tests."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -25,11 +29,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, stored in the shared folder and read again.
 
     Cuts the lineage without tying rows to an executor: a lost executor only
-    repeats its own tasks.
+    repeats its own tasks. Its shuffle files are removed at once.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        # Planned anew under this setting; the rows are read from the table from here on.
+        df.select("*").write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
