@@ -1,0 +1,355 @@
+"""Edge cases and brute-force references of the numbered operators on small tables."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import public_tokenizers
+from quotewright.llm import annsearch, bpe, chat, linedup, minhash, mixing, passages, pii, simhash, toxicity
+from quotewright.llm.scratch import components
+
+WORDS = [f"w{i}" for i in range(400)]
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ODD = [None, "", " \n\t ", "one", "x" * 70_000, "a b c", "a b c", "zwölf Boxkämpfer jagen\n\nEva 🙂"]
+
+
+def prose(seed, n):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) for _ in range(n))
+
+
+def odd(documents):
+    return documents(list(enumerate(ODD)))
+
+
+# -- 1 -------------------------------------------------------------------
+
+
+def test_toxicity_separates_and_keeps_held_out_labels_out(spark, documents):
+    r = random.Random(1)
+    rows = [(i, prose(i, 40) + (" you vile zork zorkish " if i % 4 == 0 else " kind ") + prose(-i, 20)) for i in range(400)]
+    docs = documents(rows + [(900, None), (901, "")])
+    toxic = {i: int(i % 4 == 0) for i in range(400)}
+    held = {x.doc_id for x in docs.filter(toxicity.held_out()).collect()}
+    # Wrong labels on the held-out rows must not matter.
+    labels = spark.createDataFrame([(i, 1, r.randrange(2) if i in held else t) for i, t in toxic.items()], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in toxicity.score(docs, labels).collect()}
+    assert got.keys() == {x[0] for x in rows} | {900, 901}
+    assert all(0 <= x.score <= 1 and x.predicted == int(x.score >= 0.3) for x in got.values())
+    assert {i for i, x in got.items() if x.held_out} == held
+    assert np.mean([got[i].predicted == t for i, t in toxic.items()]) > 0.95
+
+
+def test_toxicity_without_usable_labels(spark, documents):
+    labels = spark.createDataFrame([(1, 1, None)], "doc_id long, quality int, toxic int")
+    assert {x.score for x in toxicity.score(odd(documents), labels).collect()} == {0.0}
+    assert toxicity.score(documents([]), labels).count() == 0
+
+
+def test_features_of_odd_texts():
+    lexicon = {("", 4): {}, ("", 5): {}, ("", 6): {}, "vile": 2.0}
+    assert all(len(toxicity.features(t or "", lexicon)) == len(toxicity.NAMES) for t in ODD)
+    plain, masked = (dict(zip(toxicity.NAMES, toxicity.features(t, lexicon))) for t in ("you vile thing", "you v1le thing"))
+    assert plain["near_second"] == 1 and masked["masked_hits"] == 1
+
+
+# -- 2 -------------------------------------------------------------------
+
+
+def test_nearest_neighbours_reach_recall_and_measure_exactly(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 16))
+    v = (centres[rng.integers(0, 20, 600)] + 0.4 * rng.normal(size=(600, 16))).astype(np.float32)
+    v[7] = v[3]
+    rows = [(i, [float(x) for x in v[i]], 0) for i in range(600)]
+    rows += [(600, None, 0), (601, [0.0] * 16, 0), (602, [float("nan")] + [1.0] * 15, 0), (603, [None] + [1.0] * 15, 0), (604, [float("inf")] * 16, 0), rows[0]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = annsearch.search(table, F.col("vec_id") % 20 == 0, k=10).collect()
+    x, hit = v.astype(float), 0
+    by = {}
+    for r in got:
+        by.setdefault(r.query_id, []).append(r)
+        assert r.score == pytest.approx(float(x[r.query_id] @ x[r.vec_id]), abs=1e-12)
+    assert set(by) == set(range(0, 600, 20))
+    for q, found in by.items():
+        found.sort(key=lambda r: r["rank"])
+        assert [r["rank"] for r in found] == list(range(1, 11)) and q not in {r.vec_id for r in found}
+        assert [(-r.score, r.vec_id) for r in found] == sorted((-r.score, r.vec_id) for r in found)
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len({r.vec_id for r in found} & set(np.lexsort((np.arange(600), -s))[:10].tolist()))
+    assert hit >= 0.9 * 300
+
+
+def test_nearest_neighbours_of_few_or_no_vectors(spark):
+    schema = "vec_id long, embedding array<float>"
+    few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.6, 0.8]), (2, None)], schema)
+    assert [(r.query_id, r["rank"], r.vec_id) for r in annsearch.search(few, F.col("vec_id") % 20 == 0, tables=8, probes=2).collect()] == [(0, 1, 1)]
+    assert annsearch.search(spark.createDataFrame([], schema), F.lit(True)).count() == 0
+
+
+# -- 3 -------------------------------------------------------------------
+
+
+def test_mix_meets_targets(documents):
+    r = random.Random(2)
+    rows = [(i, prose(i, r.randrange(1, 60)), r.choice(["a", "b", "c", None])) for i in range(900)]
+    rows += [(1000, None, "a"), (1001, "", "d")]
+    docs = documents(rows)
+    got = mixing.mix(docs).collect()
+    again = {(x.doc_id, x.taken) for x in mixing.mix(docs.repartition(3)).collect()}
+    assert {(x.doc_id, x.taken) for x in got} == again
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, *_ in rows}
+    source = {x[0]: x[2] for x in rows}
+    totals = {s: sum(size[i] for i in size if source[i] == s) for s in set(source.values())}
+    order = sorted((s for s in totals if s is not None)) + [None]
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    target, open_, left = {}, set(order), 1.5 * sum(totals.values())
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = {s for s in open_ if level * weight[s] > 2 * totals[s]}
+        for s in over or open_:
+            target[s] = 2.0 * totals[s] if over else level * weight[s]
+        left -= sum(target[s] for s in over)
+        open_ -= over or open_
+    assert {x.doc_id for x in got} == set(size)
+    for x in got:
+        assert (x.size, x.source_size) == (size[x.doc_id], totals[source[x.doc_id]])
+        assert x.target == pytest.approx(target[source[x.doc_id]])
+        assert x.taken == x.copies * x.size <= 2 * x.size
+    for s in order:
+        taken = sum(x.taken for x in got if x.source == s)
+        assert abs(taken - target[s]) <= 60
+    assert mixing.mixed(docs).columns == docs.columns
+    assert mixing.mixed(docs).count() == sum(x.copies for x in got)
+
+
+def test_mix_of_nothing(documents):
+    assert mixing.mix(documents([])).count() == 0
+    assert {x.taken for x in mixing.mix(documents([(1, None, None), (2, "", "a")])).collect()} == {0}
+
+
+# -- 4 -------------------------------------------------------------------
+
+
+def test_fingerprints_tell_edits_from_neighbours(documents):
+    rows = [(3 * i, prose(i, 150)) for i in range(30)] + [(200 + i, t) for i, t in enumerate(ODD)]
+    got = {x.doc_id: x for x in simhash.with_near(simhash.edited_fingerprints(documents(rows))).collect()}
+    text = {i: t or "" for i, t in rows}
+    ids = sorted(text)
+    for i, j in zip(ids, ids[1:] + ids[:1]):
+        n = len(text[i]) // 4
+        edited = text[i][: len(text[i]) - n] + text[j][:n]
+        assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert got[i].n_chars == len(text[i])
+    prints = {}
+    for i, x in got.items():
+        assert prints.setdefault(text[i], x.fingerprint) == x.fingerprint
+    assert min(got[3 * i].near_edited for i in range(29)) > max(got[3 * i].near_next for i in range(29))
+
+
+def test_no_fingerprint_within_the_radius_is_missed(spark):
+    r = random.Random(4)
+    base = [r.getrandbits(128) for _ in range(40)]
+    points = {b ^ sum(1 << k for k in r.sample(range(128), n)) for b in base for n in (0, 1, 2, 3, 3, 4)}
+    halves = lambda x: tuple(int(np.int64(np.uint64(h))) for h in (x & (2**64 - 1), x >> 64))
+    table = spark.createDataFrame([halves(p) for p in points], "f0 long, f1 long")
+    asked = spark.createDataFrame([halves(b) for b in base], "f0 long, f1 long")
+    got = {(x.q0, x.q1, x.f0, x.f1) for x in simhash.within_radius(table, asked).collect()}
+    assert got == {halves(b) + halves(p) for b in base for p in points if 0 < bin(b ^ p).count("1") <= 3}
+
+
+# -- 5 -------------------------------------------------------------------
+
+
+def test_bpe_equals_the_library_and_round_trips(documents):
+    r = random.Random(6)
+    texts = ODD + ["".join(chr(r.randrange(32, 0x2FFF)) for _ in range(500)), "ab" * 300, "\n\n  \t x", "don't we'll", prose(1, 200)]
+    docs = documents(list(enumerate(texts)))
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    wanted = {i: known.encode_ordinary(t or "") for i, t in enumerate(texts)}
+    for x in bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS).collect():
+        assert x.token_ids == wanted[x.doc_id]
+        assert bytes(x.decoded).decode() == (texts[x.doc_id] or "") and x.size == "clash"
+    for x in bpe.encode_digests(docs, RANKS, public_tokenizers.PATTERN).collect():
+        ids = wanted[x.doc_id]
+        assert (x.n_tokens, x.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert x.decoded_sha256 == hashlib.sha256((texts[x.doc_id] or "").encode()).hexdigest()
+    assert bpe.encode_digests(documents([]), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+# -- 6 -------------------------------------------------------------------
+
+
+def test_cartesian_nodes_match_their_definition():
+    rng = np.random.default_rng(8)
+    for n, span in ((30, 5), (7, 7), (200, 11)):
+        tokens = rng.integers(0, 40, n).astype(np.uint64)
+        from quotewright.llm.wordhash import mix
+
+        h = mix(tokens ^ np.uint64(3 * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+        left, at, right = passages.compact_windows(tokens, span, 3)
+        for l, c, r in zip(left, at, right):
+            assert l <= c <= r and r - l + 1 >= span
+            assert h[l : r + 1].min() >> 16 == h[c] >> 16
+        assert sorted(s for l, r in zip(left, right) for s in range(l, r - span + 2)) == list(range(n - span + 1))
+
+
+def test_passages_are_found_whole_and_clean_texts_left_alone(documents):
+    shared, changed = prose("p", 80), prose("p", 80).split()
+    changed[70] = "other"
+    rows = [(1, prose(1, 90) + " " + shared + " " + prose(2, 70)), (2, prose(3, 40) + " " + shared), (3, prose(4, 300)), (4, " ".join(changed) + " " + prose(5, 60))]
+    rows += [(10 + i, t) for i, t in enumerate(ODD)] + [(40 + i, prose(6, 120)) for i in range(5)]
+    got = {}
+    for x in passages.repeated_passages(documents(rows)).collect():
+        got.setdefault(x.doc_id, []).append((x.start_word, x.end_word, x.source_doc_id, x.source_start))
+    assert got.pop(2) == [(40, 120, 1, 90)]
+    assert got.keys() == {4, 41, 42, 43, 44}
+    assert all(got[i] == [(0, 120, 40, 0)] for i in range(41, 45))
+    assert all(s == 1 and a <= 5 and b >= 70 for a, b, s, _ in got[4])
+    assert passages.repeated_passages(documents([])).count() == 0
+
+
+# -- 7 -------------------------------------------------------------------
+
+
+def shingle_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()}
+
+
+def test_near_duplicates_equal_all_pairs(documents):
+    r = random.Random(9)
+    texts = list(ODD) + ["A b C"]
+    for k in range(12):
+        base = prose(f"n{k}", r.choice([4, 30, 200])).split()
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(r.randrange(0, 3)):
+                copy[r.randrange(len(copy))] = r.choice(WORDS)
+            texts.append(" ".join(copy))
+    # A chain whose ends are far apart, and a large group of near copies.
+    texts += [prose("chain", 260).split(" ", 20 * i)[-1].rsplit(" ", 100 - 20 * i)[0] for i in range(5)]
+    texts += [prose("big", 100) + f" end{i}" for i in range(60)]
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    for x in minhash.near_duplicates(documents(list(enumerate(texts)))).collect():
+        assert (x.n_shingles, x.component_id) == (len(sets[x.doc_id]), find(x.doc_id)), texts[x.doc_id]
+        assert x.kept == (x.component_id == x.doc_id)
+    assert minhash.near_duplicates(documents([])).count() == 0
+
+
+def test_signatures_agree_as_often_as_sets_do():
+    rng = np.random.default_rng(3)
+    items = rng.integers(0, 2**63, 500).astype(np.uint64)
+    a, b = np.sort(items[:400]), np.sort(items[100:])
+    one, two = minhash.signatures([a, b])
+    assert abs((one == two).mean() - 0.6) < 0.15
+    assert (minhash.signatures([a])[0] == one).all()
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(200, 230)] + [(5, 5), (None, 3)]
+    got = {x.node: x.component for x in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {i: 100 for i in range(100, 161)} | {7: 7} | {x: 7 for x in range(200, 230)}
+
+
+# -- 8 -------------------------------------------------------------------
+
+
+def test_plain_spans_equal_the_patterns():
+    email, ip = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+    r = random.Random(3)
+    for _ in range(5000):
+        t = "".join(r.choice("a@.1234 +-5(") for _ in range(r.randrange(60)))
+        wanted = [("email", *m.span()) for m in re.finditer(email, t)]
+        wanted += [("ip", *m.span()) for m in re.finditer(ip, t) if all(int(x) <= 255 for x in m[0].split("."))]
+        assert wanted == [tuple(s) for s in pii.plain_spans(t) if s.kind in ("email", "ip")]
+
+
+@pytest.mark.parametrize(
+    "text, kind, source",
+    [
+        ("mail bob [at] mail dot example dot com now", "email", "bob [at] mail dot example dot com"),
+        ("write anna.b (at) mail2.example.com.", "email", "anna.b (at) mail2.example.com"),
+        ("é jo＠ex.com x", "email", "jo＠ex.com"),
+        ("john​@exa​mple.com", "email", "john​@exa​mple.com"),
+        ("card ４111 1111 1111 1111 x", "card", "４111 1111 1111 1111"),
+        ("call plus four nine one five one two three four five six today", "phone", "plus four nine one five one two three four five six"),
+    ],
+)
+def test_disguises_map_back(text, kind, source):
+    plain, added = pii.find_spans(text)
+    assert [(s.kind, text[s.start : s.end]) for s in added] == [(kind, source)]
+
+
+def test_prose_is_no_personal_data(documents):
+    for text in ("we met at home", "seven eight nine", "look at this. dot", "1" * 5000, "a" * 5000 + "@", "+" * 2000):
+        assert pii.find_spans(text) == ([], [])
+    got = pii.span_digests(odd(documents)).collect()
+    assert len(got) == len(ODD) and {x.spans for x in got} == {""}
+    found = pii.spans(documents([(1, "a@b.cd at 1.2.3.4")])).first()
+    assert [(s.kind, s.start, s.end) for s in found.spans] == [("email", 0, 6), ("ip", 10, 17)] and found.size == "clash"
+
+
+# -- 9 -------------------------------------------------------------------
+
+
+def test_conversations_come_back_whatever_they_say(spark):
+    r = random.Random(12)
+    bits = ["<|im_start|>", "<|im_end|>", "\n", "\\", "<|", "<\\|", "!", "user", "\\s", "\\n", "assistant", "ü", ""]
+    rows = [(c, t, r.choice(["user", "assistant", "sys\ntem", "!x", None]), "".join(r.choices(bits, k=r.randrange(6))) or None) for c in range(60) for t in range(r.randrange(1, 5))]
+    rows += [(99, None, "user", "a"), (99, 1, "user", "a"), (99, 1, "user", "a"), (None, 1, "user", "b")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    talks = chat.format_conversations(table)
+    got = {x.conv_id: x for x in chat.digests(talks).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for c in {x[0] for x in rows}:
+        turns = sorted((x[1] is not None, x[1] or 0, x[2] or "", x[3] or "") for x in rows if x[0] == c)
+        said = "".join(x[3] for x in turns if x[2] == "assistant")
+        x = got[c]
+        assert x.identical and x.n_turns == len(turns)
+        assert x.turns_sha256 == sha("".join(f"{t[2]}\n{t[3]}\n" for t in turns))
+        assert (x.loss_chars, x.loss_sha256) == (len(said), sha(said))
+    assert {x.conv_id: len(x.formatted) for x in talks.collect()} == {c: x.formatted_chars for c, x in got.items()}
+    assert chat.digests(chat.format_conversations(table.limit(0))).count() == 0
+
+
+# -- 10 ------------------------------------------------------------------
+
+
+def test_later_line_runs_go(documents):
+    r = random.Random(13)
+    rows = [(i, "\n".join(r.choice(["a", "b", "c", "d", "", "  ", f"u{i}"]) for _ in range(r.randrange(1, 12)))) for i in range(60)]
+    rows += [(100 + i, t) for i, t in enumerate(ODD)] + [(200, rows[0][1]), (201, "same\n" * 40)]
+    seen, wanted = set(), {}
+    for i, text in rows:
+        lines = [(k, x) for k, x in enumerate((text or "").split("\n")) if x.strip(" \t\n\r\x0b\f")]
+        gone = set()
+        for (k, x), (m, y) in zip(lines, lines[1:]):
+            gone |= {k, m} if (x, y) in seen else set()
+            seen.add((x, y))
+        wanted[i] = (len(lines), sorted(gone))
+    for x in linedup.deduplicated(documents(rows)).collect():
+        n, gone = wanted[x.doc_id]
+        assert (x.n_lines, x.deleted) == (n, gone) and x.size == "clash"
+        whole = dict(rows)[x.doc_id]
+        assert x.text == (whole if not gone else "\n".join(t for k, t in enumerate(whole.split("\n")) if k not in gone))
+    assert linedup.line_digests(documents([])).count() == 0
+
+
+def test_a_run_names_the_place_it_was_copied_from(documents):
+    rows = [(1, "x\nl1\nl2\nl3\nl4\ny"), (2, "l1\nl2\nz"), (3, "q\nl1\nl2\nl3\nl4\nr")]
+    got = [(x.doc_id, x.start, x.lines, x.deleted, x.source_doc_id, x.source_place) for x in linedup.repeated_runs(linedup.line_ids(documents(rows))).orderBy("doc_id").collect()]
+    assert got == [(2, 0, 2, [0, 1], 1, 1), (3, 1, 4, [1, 2, 3, 4], 1, 1)]
