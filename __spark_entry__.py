@@ -66,6 +66,12 @@ def _stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_master(_metrics(spark, sf_dir), _listing(spark, sf_dir))
 
 
+def _unlisted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars joined with a listing of large companies only: the others keep null attributes."""
+    large = _listing(spark, sf_dir).filter(F.col("scale_category") == "Large")
+    return _rounded(attach_master(_metrics(spark, sf_dir), large))
+
+
 def _sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sector_summary(_stocks(spark, sf_dir))
 
@@ -125,10 +131,10 @@ def upsert_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Older snapshot of the large companies, updated by the newer one of all markets but one."""
+    """Older snapshot of large companies and one market, updated by the newer one of the other markets."""
     newer, older = "2000-06-30", "1999-06-30"
     records = derived.listing_snapshots(spark, sf_dir, newer, older)
-    loaded = records.filter((F.col("Date") == older) & (F.col("ScaleCategory") == "Large"))
+    loaded = records.filter((F.col("Date") == older) & ((F.col("ScaleCategory") == "Large") | (F.col("MarketCode") == "0")))
     fresh = latest_per_key(records.filter((F.col("Date") == newer) & (F.col("MarketCode") != "0")), ["Code"], ["Date"])
     return merge_rows(loaded, fresh, ["Code"])
 
@@ -216,6 +222,7 @@ def _market_queries() -> dict[str, Query]:
         ),
         "stock_metrics": lambda spark, d: _rounded(_metrics(spark, d)),
         "metrics_refresh": metrics_refresh,
+        "stock_with_unlisted": _unlisted,
         "stock_with_master": lambda spark, d: _rounded(_stocks(spark, d)),
         "sector_summary": _sector_summary,
         "quality_checks": _report(

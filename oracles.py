@@ -46,8 +46,7 @@ CTES = {
                n_name AS "Sector33CodeName",
                CASE WHEN s_acctbal >= 5000 THEN 'Large' ELSE 'Small' END AS "ScaleCategory",
                CAST(r_regionkey AS VARCHAR) AS "MarketCode", r_name AS "MarketCodeName"
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-        WHERE s_acctbal >= 0""",
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "old_listing": """
         SELECT * REPLACE ('1999-06-30' AS "Date", "CompanyName" || ' (old)' AS "CompanyName") FROM listing""",
     "snapshots": "SELECT * FROM listing UNION ALL SELECT * FROM old_listing",
@@ -179,7 +178,7 @@ QUERIES = {
         SELECT * FROM ok UNION ALL
         SELECT * FROM l WHERE (trade_date, code) NOT IN (SELECT (trade_date, code) FROM ok)""",
     "upsert_listing": """
-        SELECT * FROM old_listing WHERE "ScaleCategory" = 'Large'
+        SELECT * FROM old_listing WHERE ("ScaleCategory" = 'Large' OR "MarketCode" = '0')
           AND "Code" NOT IN (SELECT "Code" FROM listing WHERE "MarketCode" <> '0')
         UNION ALL SELECT * FROM listing WHERE "MarketCode" <> '0'""",
     "moving_averages": f"SELECT trade_date, code, {rounded(['ma5', 'ma25', 'ma75'])} FROM steps",
@@ -192,6 +191,8 @@ QUERIES = {
     "metrics_refresh": f"""SELECT {PRICES}, {rounded(METRIC_COLUMNS)} FROM metrics
         WHERE trade_date >= (SELECT min(trade_date) FROM silver s
                              WHERE s.code = metrics.code AND s.trade_date >= {AS_OF})""",
+    "stock_with_unlisted": f"""SELECT {PRICES}, {rounded(METRIC_COLUMNS)}, {', '.join(
+        f"CASE WHEN scale_category = 'Large' THEN {c.strip()} END AS {c.strip()}" for c in ATTRIBUTES.split(','))} FROM stocks""",
     "stock_with_master": f"SELECT {PRICES}, {rounded(METRIC_COLUMNS)}, {ATTRIBUTES} FROM stocks",
     "sector_summary": f"""SELECT trade_date, sector17_name, stock_count, round(total_turnover, 2) AS total_turnover,
         {rounded(['avg_return_1d', 'avg_return_5d', 'avg_volatility'], 6)} FROM sectors""",
@@ -206,7 +207,7 @@ QUERIES = {
         FROM ({checks('spoilt', 'bronze_renamed', '2000-06-30 07:00:00')}) GROUP BY table_name""",
     "quality_summary": f"""
         SELECT table_name, check_name, CASE WHEN passed THEN '✅ PASS' ELSE '❌ FAIL' END AS status, detail, checked_at
-        FROM ({LOG}) WHERE checked_at >= {AS_OF} - 1""",
+        FROM ({LOG}) WHERE checked_at BETWEEN {AS_OF} - 1 AND {AS_OF} + INTERVAL '23:59:59.999999'""",
     "newest_quality_rows": f"""
         SELECT {CHECK_COLUMNS} FROM ({LOG}) ORDER BY checked_at DESC, table_name, check_name LIMIT 20""",
     "daily_ingest_counts": """
@@ -271,7 +272,7 @@ QUERIES = {
         FROM sectors WHERE trade_date = (SELECT max(trade_date) FROM sectors)""",
     "stock_series": f"""
         SELECT trade_date, code, company_name, close, volume, {rounded(['ma5', 'ma25', 'ma75'])}
-        FROM stocks WHERE code = '0' AND trade_date >= {AS_OF} - 365""",
+        FROM stocks WHERE code = '0' AND trade_date BETWEEN {AS_OF} - 365 AND {AS_OF}""",
     "return_ranking": """
         SELECT row_number() OVER (ORDER BY return_1d DESC, code) AS rank, code, company_name, sector17_name,
                round(close, 0) AS close, round(return_1d, 2) AS return_1d_pct, round(volume / 1e6, 1) AS volume_m,
@@ -284,11 +285,11 @@ QUERIES = {
           AND turnover_value > 1e6 ORDER BY turnover_value DESC, code LIMIT 500""",
     "market_turnover": f"""
         SELECT trade_date, market_name, round(sum(turnover_value) / 1e12, 3) AS total_turnover_t_jpy
-        FROM stocks WHERE trade_date >= {AS_OF} - 90 GROUP BY trade_date, market_name""",
+        FROM stocks WHERE trade_date BETWEEN {AS_OF} - 90 AND {AS_OF} GROUP BY trade_date, market_name""",
     "curated_view": f"""
         SELECT trade_date, code, company_name, sector17_name AS sector, market_name AS market, scale_category,
                close, open, high, low, volume, turnover_value, {rounded(METRIC_COLUMNS)}
-        FROM stocks WHERE trade_date >= {AS_OF} - 730""",
+        FROM stocks WHERE trade_date BETWEEN {AS_OF} - 730 AND {AS_OF}""",
 }
 
 

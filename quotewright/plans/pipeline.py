@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,9 @@ from quotewright.operators.metrics import MetricWindows
 from quotewright.operators.quality import quality_checks, quality_report, require_passed
 from quotewright.schemas import LISTING_RECORD, MASTER_ATTRIBUTES, QUALITY_LOG, SILVER_KEY
 from quotewright.sinks import append_rows, overwrite_table, replace_partitions, upsert
-from quotewright.sinks.tables import finish_pending, scratch_dir
+from quotewright.sinks.tables import finish_pending, path_exists, scratch_dir
 from quotewright.sources.catalog import TableNames, current_table, ensure_schemas, table_exists
-from quotewright.sources.landing import read_records, split_records, with_audit
+from quotewright.sources.landing import SOURCE_FILE, read_records, split_records, with_audit
 from quotewright.streaming.ingest import LISTING_CHANGE, Loaded, ingest_available, record_changes
 
 DAY = "trade_date"
@@ -35,7 +36,9 @@ class PipelineConfig:
     fail_on_error: bool = True
 
     def checkpoint_in(self, spark: SparkSession) -> str:
-        return self.checkpoint or f"{scratch_dir(spark)}/ingest/{self.names.bronze_quotes}"
+        """A folder of this warehouse, landing path and table alone, so no other load's progress is taken for its own."""
+        of = f"{spark.conf.get('spark.sql.warehouse.dir')}\n{self.quotes_path}\n{self.layout}\n{self.names.bronze_quotes}"
+        return self.checkpoint or f"{scratch_dir(spark)}/ingest/{self.names.bronze_quotes}-{md5(of.encode()).hexdigest()}"
 
 
 @dataclass
@@ -64,10 +67,22 @@ def refresh_listing(
     is queued so that the next Gold run rewrites that table.
     """
     ensure_schemas(spark, names)
-    accepted, _ = split_records(with_audit(records, ingestion_date), dated=False)
+    accepted, rejected = split_records(with_audit(records, ingestion_date), dated=False)
+    # Snapshots are read anew on each run, so keep only rejects that are not there yet.
+    if table_exists(spark, names.rejected_records):
+        known = current_table(spark, names.rejected_records).select(
+            *[c for c in ("reason", "record", SOURCE_FILE) if c in rejected.columns]
+        )
+        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"known.{c}")) for c in known.columns]
+        rejected = rejected.alias("new").join(known.alias("known"), same, "left_anti")
+    if not rejected.isEmpty():
+        append_rows(rejected, names.rejected_records)
     upsert(accepted, names.bronze_listing, ["Code"], newest_by=("Date", "_ingestion_date"))
     current = listing_to_silver(current_table(spark, names.bronze_listing))
-    if table_exists(spark, names.silver_listing):
+    first = not table_exists(spark, names.silver_listing)
+    if first and table_exists(spark, names.stocks):
+        record_changes(current.select("code").withColumn(DAY, F.lit(None).cast("date")), LISTING_CHANGE, names)
+    if not first:
         attributes = ["code", *MASTER_ATTRIBUTES]
         new, old = current.select(attributes), current_table(spark, names.silver_listing).select(attributes)
         changed = new.exceptAll(old).unionByName(old.exceptAll(new)).select("code").distinct()
@@ -116,7 +131,12 @@ def _overwrite_gold(df: DataFrame, table: str) -> int:
 
 
 def _joined(metrics: DataFrame, spark: SparkSession, names: TableNames) -> DataFrame:
-    return attach_master(metrics.drop("_gold_updated_at"), current_table(spark, names.silver_listing))
+    """Without a listing yet, every attribute is null; one that comes later fills them."""
+    if table_exists(spark, names.silver_listing):
+        listing = current_table(spark, names.silver_listing)
+    else:
+        listing = listing_to_silver(spark.createDataFrame([], LISTING_RECORD))
+    return attach_master(metrics.drop("_gold_updated_at"), listing)
 
 
 def _build_joined(spark: SparkSession, names: TableNames, windows: MetricWindows) -> dict[str, int]:
@@ -187,6 +207,10 @@ def run(
     first_run = not table_exists(spark, names.bronze_quotes)
     result = PipelineResult("initial" if first_run else "incremental")
 
+    progress = f"{config.checkpoint_in(spark)}/commits"
+    if first_run and not table_exists(spark, names.rejected_records) and path_exists(spark, progress):
+        raise ValueError(f"{names.bronze_quotes} is gone but {progress} says that files were loaded; remove that folder to load all again")
+
     if config.listing_path and (refresh_master or not table_exists(spark, names.silver_listing)):
         listing = read_records(spark, config.listing_path, LISTING_RECORD, config.layout)
         result.listing_rows = refresh_listing(spark, listing, names, ingestion_date)

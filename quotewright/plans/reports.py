@@ -33,8 +33,10 @@ def _down(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).desc_nulls_last()
 
 
-def _since(column: str, as_of: date | str | None, days: int) -> Column:
-    return F.col(column) >= F.date_add(day(as_of), -days)
+def _window(column: str, as_of: date | str | None, days: int) -> Column:
+    """From ``days`` before ``as_of`` to its end; works for dates and timestamps."""
+    last = day(as_of)
+    return (F.col(column) >= F.date_add(last, -days)) & (F.col(column) < F.date_add(last, 1))
 
 
 # -- loads ---------------------------------------------------------------
@@ -83,7 +85,7 @@ def silver_stats(quotes: DataFrame) -> DataFrame:
 def quality_summary(quality_log: DataFrame, as_of: date | str | None = None) -> DataFrame:
     """Check results logged since the day before ``as_of``."""
     return (
-        quality_log.filter(_since("checked_at", as_of, 1))
+        quality_log.filter(_window("checked_at", as_of, 1))
         .select(
             "table_name",
             "check_name",
@@ -159,7 +161,7 @@ def stock_series(
 ) -> DataFrame:
     """One instrument's price and averages over the last year."""
     return (
-        stocks.filter((F.col("code") == F.lit(code)) & _since("trade_date", as_of, days))
+        stocks.filter((F.col("code") == F.lit(code)) & _window("trade_date", as_of, days))
         .select("trade_date", "code", "company_name", "close", "ma5", "ma25", "ma75", "volume")
         .orderBy("trade_date")
     )
@@ -213,7 +215,7 @@ def volatility_vs_return(
 def market_turnover(stocks: DataFrame, as_of: date | str | None = None, days: int = 90) -> DataFrame:
     """Turnover per day and market over the last quarter."""
     return (
-        stocks.filter(_since("trade_date", as_of, days))
+        stocks.filter(_window("trade_date", as_of, days))
         .groupBy("trade_date", "market_name")
         .agg(F.round(F.sum("turnover_value") / TRILLION, 3).alias("total_turnover_t_jpy"))
         .orderBy("trade_date", F.col("market_name").asc_nulls_last())
@@ -229,7 +231,7 @@ def curated_view(stocks: DataFrame, as_of: date | str | None = None, days: int =
         "return_1d", "return_5d", "return_21d", "volatility_20d", "high_52w", "low_52w",
         "dist_from_high_52w", "dist_from_low_52w", "volume_ma5",
     )
-    return stocks.filter(_since("trade_date", as_of, days)).select(
+    return stocks.filter(_window("trade_date", as_of, days)).select(
         *[F.col(c).alias(renamed.get(c, c)) for c in columns]
     )
 

@@ -52,6 +52,11 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, found = _file_system(spark, path)
+    return fs.exists(found)
+
+
 def _is_complete(spark: SparkSession, path: str) -> bool:
     fs, marker = _file_system(spark, f"{path}/_SUCCESS")
     return fs.exists(marker)

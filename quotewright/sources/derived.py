@@ -85,8 +85,8 @@ def quote_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_records(spark: SparkSession, sf_dir: str, snapshot: str = "2000-06-30") -> DataFrame:
-    """Suppliers in good standing as listing records of one snapshot."""
-    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet").filter(F.col("s_acctbal") >= 0)
+    """All suppliers as listing records of one snapshot."""
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     joined = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(

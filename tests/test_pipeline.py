@@ -184,3 +184,23 @@ def test_listing_rows_held_in_memory(spark):
     newer = [{"Date": "2024-02-05", "Code": "7203", "CompanyName": "B"}, {"Date": "2024-02-05", "Code": "9984"}]
     assert refresh_listing(spark, listing_from_rows(spark, newer), names) == 2
     assert spark.table(names.silver_listing).filter("code = '7203'").first().company_name == "B"
+
+
+def test_first_run_without_a_listing_and_a_later_one_with_rejects(spark, folder, records, listing):
+    names = names_for("nolist")
+    config = PipelineConfig(f"{folder}/quotes", None, "lines", names, checkpoint=f"{folder}/cp")
+    land(records, config.quotes_path, "history")
+    run(spark, config)
+    assert spark.table(names.stocks).filter("company_name is not null").isEmpty()
+    land(listing, f"{folder}/listing", "all")
+    (Path(folder) / "listing" / "bad.json").write_text('{"CompanyName": "no code"}\nnot json')
+    config = PipelineConfig(config.quotes_path, f"{folder}/listing", "lines", names, checkpoint=config.checkpoint)
+    run(spark, config)
+    check_gold(spark, names, records, listing)
+    assert run(spark, config).mode == "up_to_date"
+    assert sorted(r.reason for r in spark.table(names.rejected_records).collect()) == ["malformed record", "missing code"]
+
+
+def test_progress_of_a_load_belongs_to_its_landing_path_and_table(spark, folder):
+    paths = {PipelineConfig(q, names=n).checkpoint_in(spark) for q in ("/a", "/b") for n in (names_for("x"), names_for("y"))}
+    assert len(paths) == 4

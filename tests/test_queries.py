@@ -38,10 +38,12 @@ def row_set(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    """The training-data operators may have none where SQL cannot express them; they have tests of their own."""
+    further = {n for module in contract._training_data() for n in module.queries()}
+    assert contract.queries().keys() - further == contract.oracle_sql().keys() - further
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.oracle_sql())
 def test_matches_oracle(spark, duck, name):
     ours = contract.queries()[name](spark, SF)
     cursor = duck.execute(contract.oracle_sql()[name])
