@@ -19,7 +19,7 @@ from quotewright.sinks import append_rows, overwrite_table, replace_partitions,
 from quotewright.sinks.tables import finish_pending, path_exists, scratch_dir
 from quotewright.sources.catalog import TableNames, current_table, ensure_schemas, table_exists
 from quotewright.sources.landing import SOURCE_FILE, read_records, split_records, with_audit
-from quotewright.streaming.ingest import LISTING_CHANGE, Loaded, ingest_available, record_changes
+from quotewright.streaming.ingest import LISTING_CHANGE, WITHDRAWN, Loaded, ingest_available, record_changes
 
 DAY = "trade_date"
 
@@ -161,7 +161,10 @@ def refresh_gold(
     quotes = queue.filter(F.col("kind") != LISTING_CHANGE)
 
     refreshed = refreshed_metrics(current_table(spark, names.silver_quotes), quotes, windows)
-    written = upsert(_stamped(refreshed, "_gold_updated_at"), names.metrics, SILVER_KEY, DAY, unique=True)
+    # Withdrawn quotes that no later record brought back lose their bars.
+    withdrawn = queue.filter(F.col("kind") == WITHDRAWN).select(*SILVER_KEY).distinct()
+    gone = withdrawn.join(current_table(spark, names.silver_quotes).select(*SILVER_KEY), list(SILVER_KEY), "left_anti")
+    written = upsert(_stamped(refreshed, "_gold_updated_at"), names.metrics, SILVER_KEY, DAY, unique=True, withdrawn=gone)
     rows = {"stock_metrics": written.rows}
     if listing_changed:
         return rows | _build_joined(spark, names, windows)
@@ -171,9 +174,9 @@ def refresh_gold(
 
     if written.partitions:
         stocks = _stamped(_joined(touched(names.metrics), spark, names), "_gold_updated_at")
-        replace_partitions(stocks, names.stocks, DAY, ["code"])
+        replace_partitions(stocks, names.stocks, DAY, ["code"], written.partitions)
         sectors = _stamped(sector_summary(touched(names.stocks), windows), "_gold_updated_at")
-        replace_partitions(sectors, names.sectors, DAY, ["sector17_name"])
+        replace_partitions(sectors, names.sectors, DAY, ["sector17_name"], written.partitions)
     rows["stock_with_master"] = touched(names.stocks).count() if written.partitions else 0
     rows["sector_summary"] = touched(names.sectors).count() if written.partitions else 0
     return rows

@@ -137,11 +137,12 @@ def finish_pending(spark: SparkSession, table: str) -> bool:
 
 
 def replace_partitions(
-    df: DataFrame, table: str, partition_by: str | None, sort_by: Sequence[str] = ()
+    df: DataFrame, table: str, partition_by: str | None, sort_by: Sequence[str] = (), values: Iterable = ()
 ) -> None:
     """Replace exactly the partitions that occur in ``df`` (or an unpartitioned table).
 
-    ``df`` may read ``table``.
+    Partitions named in ``values`` that ``df`` has no row for are dropped.
+    ``df`` may read ``table``; a staged copy left behind must not be pending.
     """
     spark = df.sparkSession
     staged = _staging_path(spark, table)
@@ -149,6 +150,12 @@ def replace_partitions(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(staged)
+    if values:
+        # Dropped before publishing: a complete staged copy then finishes a run that stops in between.
+        copy = spark.read.schema(df.schema).parquet(staged)
+        filled = {r[0] for r in copy.select(partition_by).distinct().collect()}
+        for value in sorted(set(values) - filled):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = '{value}')")
     _publish(spark, table, staged)
 
 
@@ -168,6 +175,7 @@ def upsert(
     partition_by: str | None = None,
     newest_by: Sequence[str] = (),
     unique: bool = False,
+    withdrawn: DataFrame | None = None,
 ) -> Written:
     """Create the table from ``source``, or update and insert its rows by key.
 
@@ -175,7 +183,8 @@ def upsert(
     are none and saves that exchange. Rows with a null key
     can never match and are left out; the landing scan reports them. When the
     partition column is one of the keys only the partitions present in the
-    source are read and rewritten.
+    source are read and rewritten. Rows whose key is in ``withdrawn`` and not in
+    the source are deleted; this needs a partition column.
     """
     if partition_by and partition_by not in keys:
         raise ValueError("the partition column must be a key, or a row could change partition")
@@ -196,12 +205,17 @@ def upsert(
         if partition_by:
             # One row per calendar day of the batch: bounded whatever its size.
             sizes = {r[0]: r[1] for r in fresh.groupBy(partition_by).count().collect()}
+            if withdrawn is not None:
+                withdrawn = withdrawn.select(*keys).dropna()
+                sizes |= {r[0]: 0 for r in withdrawn.select(partition_by).distinct().collect() if r[0] not in sizes}
             touched = target.filter(F.col(partition_by).isin(list(sizes)))
             rows = sum(sizes.values())
         else:
             sizes, touched, rows = {}, target, fresh.count()
-        if rows:
-            replace_partitions(merge_rows(touched, fresh, keys), table, partition_by, keys)
+        if withdrawn is not None:
+            touched = touched.join(withdrawn, list(keys), "left_anti")
+        if rows or sizes:
+            replace_partitions(merge_rows(touched, fresh, keys), table, partition_by, keys, sizes)
     finally:
         fresh.unpersist()
     return Written(rows, tuple(sorted(sizes)))

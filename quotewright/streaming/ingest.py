@@ -8,14 +8,15 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotewright.functions import as_date
 from quotewright.operators import latest_per_key, quotes_to_silver
 from quotewright.schemas import QUOTE_KEY, QUOTE_RECORD, SILVER_KEY
 from quotewright.sinks import append_rows, upsert
-from quotewright.sources.catalog import TableNames, ensure_schemas
+from quotewright.sources.catalog import TableNames, ensure_schemas, table_exists
 from quotewright.sources.landing import split_records, stream_records, with_audit
 
 NEWEST_BY = ("_ingestion_date", "_loaded_at", "_source_file")
-QUOTE_CHANGE, LISTING_CHANGE = "quote", "listing"
+QUOTE_CHANGE, WITHDRAWN, LISTING_CHANGE = "quote", "withdrawn", "listing"
 
 
 @dataclass
@@ -42,6 +43,7 @@ def load_quotes(
 ) -> Loaded:
     """Upsert quote records into Bronze and their cleansed form into Silver.
 
+    A record that is no longer usable takes its older form out of Silver.
     Loading the same records again leaves both tables unchanged, so a replayed
     batch is harmless. The change queue and the reject table may then hold a row
     twice; readers of the queue only take minima and maxima.
@@ -54,7 +56,13 @@ def load_quotes(
     try:
         bronze = upsert(batch, names.bronze_quotes, QUOTE_KEY, "Date", unique=True)
         cleansed = quotes_to_silver(batch).withColumn("_silver_updated_at", F.current_timestamp())
-        silver = upsert(cleansed, names.silver_quotes, SILVER_KEY, "trade_date", unique=True)
+        withdrawn = None
+        if table_exists(records.sparkSession, names.silver_quotes):
+            keys = batch.select(as_date("Date").alias("trade_date"), F.col("Code").alias("code"))
+            withdrawn = keys.join(cleansed.select(*SILVER_KEY), list(SILVER_KEY), "left_anti").dropna()
+        silver = upsert(cleansed, names.silver_quotes, SILVER_KEY, "trade_date", unique=True, withdrawn=withdrawn)
+        if withdrawn is not None:
+            record_changes(withdrawn, WITHDRAWN, names)
         if silver.rows:
             ends = F.array_distinct(F.array(F.min("trade_date"), F.max("trade_date")))
             spans = cleansed.groupBy("code").agg(ends.alias("ends"))

@@ -204,3 +204,28 @@ def test_first_run_without_a_listing_and_a_later_one_with_rejects(spark, folder,
 def test_progress_of_a_load_belongs_to_its_landing_path_and_table(spark, folder):
     paths = {PipelineConfig(q, names=n).checkpoint_in(spark) for q in ("/a", "/b") for n in (names_for("x"), names_for("y"))}
     assert len(paths) == 4
+
+
+def test_withdrawn_quotes_leave_silver_and_gold(spark, folder, records, listing):
+    names = names_for("gone")
+    config = PipelineConfig(f"{folder}/quotes", f"{folder}/listing", names=names, checkpoint=f"{folder}/cp")
+    land(listing, config.listing_path, "all")
+    land(records, config.quotes_path, "history")
+    run(spark, config)
+    codes = [r.code for r in spark.table(names.silver_quotes).select("code").distinct().orderBy("code").limit(2).collect()]
+    one_day = spark.table(names.silver_quotes).agg(F.max("trade_date")).first()[0]
+    # Some bars of one code, and all bars of the newest day, whose partition goes.
+    lost = (F.col("Code") == codes[0]) & F.col("Date").between("2001-09-20", "2001-10-05") | (F.col("Date") == str(one_day))
+    # toJSON leaves nulls out, so a price of zero stands for the withdrawn one.
+    corrected = records.filter(lost).withColumn("AdjustmentClose", F.lit(0.0))
+    assert not corrected.isEmpty()
+    land(corrected, config.quotes_path, "withdrawn")
+    assert run(spark, config).mode == "incremental"
+    final = records.filter(~lost).unionByName(corrected)
+    assert same_rows(spark.table(names.silver_quotes).drop("_silver_updated_at"), quotes_to_silver(final))
+    assert spark.table(names.sectors).filter(F.col("trade_date") == F.lit(one_day)).isEmpty()
+    check_gold(spark, names, final, listing)
+    # Brought back, they are there again.
+    land(records.filter(lost), config.quotes_path, "back")
+    run(spark, config)
+    check_gold(spark, names, records, listing)
