@@ -16,7 +16,7 @@ from quotewright.operators.metrics import MetricWindows
 from quotewright.operators.quality import quality_checks, quality_report, require_passed
 from quotewright.schemas import LISTING_RECORD, MASTER_ATTRIBUTES, QUALITY_LOG, SILVER_KEY
 from quotewright.sinks import append_rows, overwrite_table, replace_partitions, upsert
-from quotewright.sinks.tables import finish_pending, path_exists, scratch_dir
+from quotewright.sinks.tables import finish_pending, holds_files, scratch_dir
 from quotewright.sources.catalog import TableNames, current_table, ensure_schemas, table_exists
 from quotewright.sources.landing import SOURCE_FILE, read_records, split_records, with_audit
 from quotewright.streaming.ingest import LISTING_CHANGE, WITHDRAWN, Loaded, ingest_available, record_changes
@@ -183,8 +183,8 @@ def refresh_gold(
 
 
 def _clear_queue(spark: SparkSession, names: TableNames) -> None:
-    schema = current_table(spark, names.pending_changes).schema
-    spark.createDataFrame([], schema).write.format("parquet").mode("overwrite").saveAsTable(names.pending_changes)
+    # Gold is complete by now, so rows left by a run that stops here only repeat work.
+    spark.sql(f"TRUNCATE TABLE {names.pending_changes}")
 
 
 # -- runs ----------------------------------------------------------------
@@ -211,7 +211,7 @@ def run(
     result = PipelineResult("initial" if first_run else "incremental")
 
     progress = f"{config.checkpoint_in(spark)}/commits"
-    if first_run and not table_exists(spark, names.rejected_records) and path_exists(spark, progress):
+    if first_run and not table_exists(spark, names.rejected_records) and holds_files(spark, progress):
         raise ValueError(f"{names.bronze_quotes} is gone but {progress} says that files were loaded; remove that folder to load all again")
 
     if config.listing_path and (refresh_master or not table_exists(spark, names.silver_listing)):
@@ -229,7 +229,8 @@ def run(
     if not table_exists(spark, names.pending_changes):
         raise ValueError(f"no usable quotes have landed in {config.quotes_path}")
 
-    gold_exists = table_exists(spark, names.sectors)
+    # A rebuild that stopped half-way has left one of them out.
+    gold_exists = all(table_exists(spark, t) for t in (names.metrics, names.stocks, names.sectors))
     queue = current_table(spark, names.pending_changes)
     changed = queue.agg(F.count(F.lit(1)).alias("n"), F.min(DAY).alias("since")).first()
     if gold_exists and not changed.n:

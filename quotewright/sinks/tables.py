@@ -57,6 +57,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(found)
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and holds more than hidden files."""
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder) and any(not f.getPath().getName().startswith(".") for f in fs.listStatus(folder))
+
+
 def _is_complete(spark: SparkSession, path: str) -> bool:
     fs, marker = _file_system(spark, f"{path}/_SUCCESS")
     return fs.exists(marker)
@@ -95,6 +101,24 @@ def _laid_out(df: DataFrame, partition_by: str | None, sort_by: Sequence[str]) -
 # -- whole-table writes ------------------------------------------------------
 
 
+@contextmanager
+def _whole_write(spark: SparkSession, table: str) -> Iterator[None]:
+    """Mark a write that creates or replaces a table, so that one stopped half-way can be repeated.
+
+    Such a stop leaves a folder that the catalog does not know and Spark refuses
+    to write to. It is cleared only if this mark says that it is such a rest.
+    """
+    mark = f"{_staging_path(spark, table)}.writing"
+    if path_exists(spark, mark) and not table_exists(spark, table):
+        schema, _, name = table.rpartition(".")
+        location = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
+        _discard(spark, f"{location}/{name.lower()}")
+    fs, folder = _file_system(spark, mark)
+    fs.mkdirs(folder)
+    yield
+    _discard(spark, mark)
+
+
 def overwrite_table(
     df: DataFrame, table: str, partition_by: str | None = None, sort_by: Sequence[str] = ()
 ) -> int:
@@ -106,14 +130,21 @@ def overwrite_table(
     writer = _laid_out(df, partition_by, sort_by).write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
+    with _whole_write(spark, table):
+        writer.saveAsTable(table)
     # A staged copy of the former contents has nothing left to repair.
     _discard(spark, _staging_path(spark, table))
     return current_table(spark, table).count()
 
 
 def append_rows(df: DataFrame, table: str) -> None:
-    df.write.format("parquet").mode("append").saveAsTable(table)
+    spark = df.sparkSession
+    writer = df.write.format("parquet").mode("append")
+    if table_exists(spark, table):
+        writer.saveAsTable(table)
+    else:
+        with _whole_write(spark, table):
+            writer.saveAsTable(table)
 
 
 # -- partial writes ----------------------------------------------------------

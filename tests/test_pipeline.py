@@ -5,6 +5,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from quotewright.operators import attach_master, listing_to_silver, quotes_to_silver, sector_summary, stock_metrics
@@ -229,3 +230,32 @@ def test_withdrawn_quotes_leave_silver_and_gold(spark, folder, records, listing)
     land(records.filter(lost), config.quotes_path, "back")
     run(spark, config)
     check_gold(spark, names, records, listing)
+
+
+@pytest.mark.parametrize("table", ["bronze_quotes", "stocks", "pending_changes"])
+def test_whole_writes_stopped_half_way_are_completed(spark, folder, records, listing, monkeypatch, table):
+    names = names_for(f"stop_{table}")
+    config = PipelineConfig(f"{folder}/quotes", f"{folder}/listing", names=names, checkpoint=f"{folder}/cp")
+    some = records.filter("Date < '2001-09-24'")
+    land(listing, config.listing_path, "a")
+    land(some, config.quotes_path, "a")
+    stopped, save = getattr(names, table), DataFrameWriter.saveAsTable
+
+    def stop(self, name, *args, **kwargs):
+        save(self, name, *args, **kwargs)
+        if name == stopped:
+            # What a driver leaves that dies before the table is known: its files alone.
+            short = name.rpartition(".")[2]
+            root = Path(spark.table(name).inputFiles()[0].removeprefix("file://").split(f"/{short}/")[0]) / short
+            spark.sql(f"DROP TABLE {name}")
+            root.mkdir(parents=True)
+            (root / "part-rest.parquet").write_text("half")
+            raise RuntimeError("stopped")
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", stop)
+    with pytest.raises(Exception, match="stopped"):
+        run(spark, config)
+    monkeypatch.undo()
+    run(spark, config)
+    check_gold(spark, names, some, listing)
+    assert run(spark, config).mode == "up_to_date"
