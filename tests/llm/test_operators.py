@@ -1,6 +1,7 @@
 """Edge cases and brute-force references of the numbered operators on small tables."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -215,6 +216,11 @@ def test_passages_are_found_whole_and_clean_texts_left_alone(documents):
     assert passages.repeated_passages(documents([])).count() == 0
 
 
+def test_functions_miss_fewer_than_one_in_a_thousand_at_the_threshold():
+    n, p = passages.HASHES, 0.75
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.AGREE)) < 1e-3
+
+
 # -- 7 -------------------------------------------------------------------
 
 
