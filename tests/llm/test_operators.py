@@ -221,6 +221,26 @@ def test_functions_miss_fewer_than_one_in_a_thousand_at_the_threshold():
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.AGREE)) < 1e-3
 
 
+def test_a_stretch_is_the_longest_around_its_anchor():
+    def held(x):
+        return sum(x) * 7 >= 6 * len(x)
+
+    example = [True] * 20 + [False] * 5 + [True] * 35
+    assert passages.longest_stretch(np.array(example), 40) == (0, 60)
+    r = random.Random(14)
+    for _ in range(300):
+        equal = [x for _ in range(8) for x in [True] * r.randrange(1, 40) + [False] * r.randrange(1, 7)]
+        at = r.choice([k for k, x in enumerate(equal) if x])
+        i, j = passages.longest_stretch(np.array(equal), at)
+        whole = [(m, n) for m in range(at + 1) for n in range(at + 1, len(equal) + 1) if equal[m] and equal[n - 1] and held(equal[m:n])]
+        longest = max(n - m for m, n in whole)
+        assert i <= at < j and held(equal[i:j]) and j - i >= longest
+        assert j - i == longest or j - i <= passages._SPAN
+        anchor = np.array([at])
+        if j - i >= passages._SPAN:
+            assert passages._promising(np.array(equal), np.ones(len(equal), bool), anchor, anchor).all()
+
+
 # -- 7 -------------------------------------------------------------------
 
 
