@@ -221,24 +221,46 @@ def test_functions_miss_fewer_than_one_in_a_thousand_at_the_threshold():
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.AGREE)) < 1e-3
 
 
-def test_a_stretch_is_the_longest_around_its_anchor():
-    def held(x):
-        return sum(x) * 7 >= 6 * len(x)
+def tokens_of(words):
+    return passages._short(passages._tokens([" ".join(words).encode()])[0])
+
 
-    example = [True] * 20 + [False] * 5 + [True] * 35
-    assert passages.longest_stretch(np.array(example), 40) == (0, 60)
+def test_a_stretch_is_the_longest_around_its_anchor():
     r = random.Random(14)
-    for _ in range(300):
-        equal = [x for _ in range(8) for x in [True] * r.randrange(1, 40) + [False] * r.randrange(1, 7)]
-        at = r.choice([k for k, x in enumerate(equal) if x])
-        i, j = passages.longest_stretch(np.array(equal), at)
-        whole = [(m, n) for m in range(at + 1) for n in range(at + 1, len(equal) + 1) if equal[m] and equal[n - 1] and held(equal[m:n])]
-        longest = max(n - m for m, n in whole)
-        assert i <= at < j and held(equal[i:j]) and j - i >= longest
-        assert j - i == longest or j - i <= passages._SPAN
-        anchor = np.array([at])
-        if j - i >= passages._SPAN:
-            assert passages._promising(np.array(equal), np.ones(len(equal), bool), anchor, anchor).all()
+    for _ in range(200):
+        x = y = 0
+        parts = []
+        for _ in range(r.randrange(1, 9)):
+            n = r.randrange(1, 40)
+            parts.append((x, y, n))
+            x, y = x + n + r.randrange(6), y + n + r.randrange(6)
+        at = r.randrange(len(parts))
+        longest = -1
+        for i in range(at + 1):
+            for j in range(at, len(parts)):
+                m = sum(p[2] for p in parts[i : j + 1])
+                a, b = (parts[j][k] + parts[j][2] - parts[i][k] for k in (0, 1))
+                if 7 * m >= 3 * (a + b):
+                    longest = max(longest, a)
+        i, j, _ = passages.longest_stretch(np.array(parts), at)
+        assert i <= at <= j and parts[j][0] + parts[j][2] - parts[i][0] == longest
+
+
+@pytest.mark.parametrize("words, edit", [(52, 12), (55, 14), (60, 20)])
+def test_an_edited_word_does_not_cost_the_front(words, edit):
+    passage = prose(f"e{words}", words).split()
+    changed = [*passage[:edit], "other", *passage[edit + 1 :]]
+    a, b = tokens_of(prose(1, 40).split() + changed + prose(2, 40).split()), tokens_of(prose(3, 90).split() + passage + prose(4, 30).split())
+    assert passages._stretches(a, b, [(40 + edit + 5, 90 + edit + 5)]) == [(40, 90, words - 4)]
+
+
+@pytest.mark.parametrize("words", [60, 75, 95])
+def test_words_put_in_or_left_out_do_not_part_a_passage(words):
+    passage = prose(f"i{words}", words).split()
+    half = words // 2
+    for changed in ([*passage[:half], "other", *passage[half:]], passage[:half] + passage[half + 1 :]):
+        a, b = tokens_of(prose(1, 40).split() + changed + prose(2, 40).split()), tokens_of(prose(3, 90).split() + passage + prose(4, 30).split())
+        assert passages._stretches(a, b, [(45, 95)]) == [(40, 90, len(changed) - 4)]
 
 
 # -- 7 -------------------------------------------------------------------
