@@ -263,6 +263,29 @@ def test_words_put_in_or_left_out_do_not_part_a_passage(words):
         assert passages._stretches(a, b, [(45, 95)]) == [(40, 90, len(changed) - 4)]
 
 
+def test_a_passage_behind_many_windows_of_a_frequent_key_is_found(documents):
+    # A line of 30 words is in all texts, no passage by itself; 21 and 24 also share what is around it.
+    line = prose("hot", 30)
+    texts = {i: prose(f"a{i}", 30) + " " + line + " " + prose(f"b{i}", 30) for i in range(25)}
+    texts[24] = prose("c24", 40) + " " + texts[21].split(" ", 15)[-1].rsplit(" ", 20)[0] + " " + prose("d24", 20)
+    # 31 is near 30, 32 is near 31 but not near 30.
+    words = prose("link", 60).split()
+    one, two = list(words), list(words)
+    one[30] = two[30] = "other"
+    two[10] = two[50] = "more"
+    texts |= {30: " ".join(words), 31: " ".join(one), 32: " ".join(two)}
+    got = {(x.doc_id, x.source_doc_id) for x in passages.repeated_passages(documents(list(texts.items()))).collect()}
+    assert {(24, 21), (31, 30), (32, 31)} <= got
+    assert {x[0] for x in got} == {24, 31, 32}
+
+
+def test_a_periodic_text_repeats_in_pieces_that_do_not_overlap(documents):
+    words = prose("period", 70).split() * 6
+    got = [(x.start_word, x.end_word, x.source_start) for x in passages.repeated_passages(documents([(1, " ".join(words))])).collect()]
+    assert all(words[a:b] == words[c : c + b - a] and c + b - a <= a for a, b, c in got)
+    assert {k for a, b, _ in got for k in range(a, b)} >= set(range(76, 416))
+
+
 # -- 7 -------------------------------------------------------------------
 
 
