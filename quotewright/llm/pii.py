@@ -5,8 +5,8 @@ transducers rewrites the text to what a reader would see: look-alike letters
 and digits become ASCII and invisible characters go, runs of spelled digits
 become digits, "at" and "dot" disguises become ``@`` and ``.``. Every character
 of the result knows the span of source characters it stands for, so spans that
-are found there map back to the source. Such a span is added if it touches no
-plain one. Offsets count code points; ends are exclusive.
+are found there map back to the source. Such a span is added unless a plain
+one of its kind contains it; plain fragments of it stay beside it. Offsets count code points; ends are exclusive.
 
 Null and empty texts have no spans. Rows are independent, so ties and repeated
 rows need no rule; extra columns are ignored.
@@ -51,13 +51,15 @@ _NUMBER = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
 _SPOKEN = re.compile(rf"(?i)(?<!\w)(?:plus[ -]+)?(?:(?:{_NUMBER}|[0-9])[ ,.-]{{1,3}}){{6,}}(?:{_NUMBER}|[0-9]+)(?!\w)")
 _SPOKEN_PART = re.compile(rf"(?i){_NUMBER}|plus|[0-9]|[ ,.-]+")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
-_DOT = r"(?: ?[\[({<] ?(?:dot|punkt|point|punto) ?[\])}>] ?| (?:dot|punkt|point|punto) )"
+_DOT = r"(?: ?[\[({<] ?(?:dot|punkt|point|punto|\.) ?[\])}>] ?| (?:dot|punkt|point|punto) )"
 _AT = r"(?: ?[\[({<] ?(?:at|arroba|@) ?[\])}>] ?| (?:at|arroba) | ?@ ?)"
 _DISGUISED = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{{1,64}}(?:(?:\.|{_DOT})[A-Za-z0-9_%+-]{{1,64}}){{0,4}}({_AT}){_LABEL}(?:(?:\.|{_DOT}){_LABEL}){{0,4}}(?:\.|{_DOT})[A-Za-z]{{2,24}}(?![A-Za-z0-9-])"
 )
-_HINT = re.compile(r"(?i)[\[({<] ?(?:at|arroba|@|dot|punkt|point|punto) ?[\])}>]| (?:dot|punkt|point|punto) | @|@ ")
+_HINT = re.compile(r"(?i)[\[({<] ?(?:at|arroba|@|dot|punkt|point|punto|\.) ?[\])}>]| (?:dot|punkt|point|punto) | @|@ ")
+_NUMBERS = re.compile(rf"(?i)(?<![0-9])[0-9]+(?:(?:\.|{_DOT})[0-9]+){{3}}(?![0-9])")
 _AT_OR_DOT = re.compile(rf"(?i){_AT}|{_DOT}")
+_ONE_DOT = re.compile(rf"(?i){_DOT}")
 
 
 class Span(NamedTuple):
@@ -170,18 +172,24 @@ def _at_and_dot(tape: _Tape) -> _Tape:
     return tape.rewritten(changes)
 
 
+def _dots_of_numbers(tape: _Tape) -> _Tape:
+    """Disguised dots between four numbers; whether they make an address is left to the pattern."""
+    if not _HINT.search(tape.text):
+        return tape
+    return tape.rewritten([(p.start(), p.end(), ".") for m in _NUMBERS.finditer(tape.text) for p in _ONE_DOT.finditer(tape.text, m.start(), m.end())])
+
+
 def added_spans(text: str, plain: list[Span]) -> list[Span]:
-    """Identifiers that only the rewritten text shows, in source offsets, touching no plain span."""
-    tape = _at_and_dot(_spelled_digits(_look_alikes(_Tape.of(text))))
+    """Identifiers that only the rewritten text shows, in source offsets, unless a plain span of the kind holds them."""
+    tape = _dots_of_numbers(_at_and_dot(_spelled_digits(_look_alikes(_Tape.of(text)))))
     if tape.text == text:
         return []
-    taken, found = sorted((s.start, s.end) for s in plain), []
+    found = []
     for s in plain_spans(tape.text):
         start, end = tape.starts[s.start], tape.ends[s.end - 1]
         changed = text[start:end] != tape.text[s.start : s.end]
-        if changed and not any(a < end and start < b for a, b in taken):
+        if changed and not any(p.kind == s.kind and p.start <= start and end <= p.end for p in plain):
             found.append(Span(s.kind, start, end))
-            taken.append((start, end))
     return found
 
 

@@ -365,6 +365,21 @@ def test_disguises_map_back(text, kind, source):
     assert [(s.kind, text[s.start : s.end]) for s in added] == [(kind, source)]
 
 
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("\u0430lice@example.com", "email"), ("alice@example.c\u043em", "email"), ("j\u043ehn@example.com", "email"),
+        ("192 dot 168 dot 0 dot 1", "ip"), ("192[.]168[.]0[.]1", "ip"), ("192.168(.)0 [dot] 1", "ip"), ("bob@example[.]com", "email"),
+    ],
+)
+def test_disguises_that_leave_a_fragment_and_dots_of_numbers(text, kind):
+    for before, after in (("", ""), ("see ", " now")):
+        plain, added = pii.find_spans(before + text + after)
+        assert added == [(kind, len(before), len(before) + len(text))]
+    assert pii.find_spans("point 3 dot 4 and 1 dot 2 dot 3") == ([], [])
+    assert pii.find_spans("999 dot 168 dot 0 dot 1") == ([], [])
+
+
 def test_prose_is_no_personal_data(documents):
     for text in ("we met at home", "seven eight nine", "look at this. dot", "1" * 5000, "a" * 5000 + "@", "+" * 2000):
         assert pii.find_spans(text) == ([], [])
