@@ -1,7 +1,7 @@
 """Corpus preparation in five stages, each on what the one before has kept.
 
     toxicity      documents whose calibrated score reaches the threshold go
-    line dedup    later copies of repeated line runs are cut out; documents left without a line go
+    line dedup    later copies of repeated line runs and of single long lines are cut out; documents left without a line go
     near-dedup    one document of each group stays, the one with the smallest id
     mixing        each document is repeated or left out so that sources meet their targets
     tokens        byte-level BPE ids of every row
@@ -27,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = linedup.deduplicated(docs)
+    cleaned = linedup.deduplicated(docs, long_words=linedup.LONG_LINE)
     kept = cleaned.filter((F.size("deleted") == 0) | (F.size("deleted") < F.col("n_lines")))
     columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns]
     return kept.select(columns)

@@ -12,7 +12,9 @@ in common. Its first suffix in corpus order (doc_id, then line) is the
 original, the others are later copies. Runs of MIN_LINES or more that began
 earlier in the corpus are deleted: the windows of all later copies, merged,
 are the maximal repeated runs. The longest interval at the head of a run names
-the place it was copied from.
+the place it was copied from. With ``long_words``, as the pipeline has it, a
+repeated line of so many words is a run by itself (round 0 has its copies);
+``line_digests`` goes by its SQL, which deletes runs of MIN_LINES only.
 
 Blank lines carry no id, are never deleted, and do not part a run. Null and
 empty texts have no lines. A document's own repeats count like those of
@@ -35,6 +37,8 @@ from quotewright.llm.scratch import written
 
 #: Shortest run that is deleted; a power of two, so that a round ends there.
 MIN_LINES = 2
+#: Words of a line that is long enough to be deleted by itself, where a caller asks for it.
+LONG_LINE = 50
 
 
 def _line_ids(batches):
@@ -44,19 +48,19 @@ def _line_ids(batches):
             hashes, solid, counts = wordhash.line_hashes(part)
             owner = np.repeat(np.arange(len(part)), counts)
             line = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
-            owner, line, hashes = owner[solid], line[solid], hashes[solid]
+            owner, line, hashes, words = owner[solid], line[solid], hashes[solid], wordhash.line_words(part)[solid]
             begins = np.searchsorted(owner, np.arange(len(part)))
             place = np.arange(len(owner)) - begins[owner]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[first : first + len(part)][owner]), pa.array(place), pa.array(line), pa.array(hashes.view(np.int64))],
-                names=["doc_id", "place", "line", "id"],
+                [pa.array(ids[first : first + len(part)][owner]), pa.array(place), pa.array(line), pa.array(hashes.view(np.int64)), pa.array(words)],
+                names=["doc_id", "place", "line", "id", "words"],
             )
 
 
 def line_ids(docs: DataFrame) -> DataFrame:
-    """``doc_id, place, line, id`` of every line that is not blank; ``place`` counts those only."""
+    """``doc_id, place, line, id, words`` of every line that is not blank; ``place`` counts those only."""
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(_line_ids, "doc_id long, place long, line long, id long")
+    return texts.mapInArrow(_line_ids, "doc_id long, place long, line long, id long, words long")
 
 
 def _ranked(groups: DataFrame) -> DataFrame:
@@ -90,7 +94,7 @@ def suffix_rounds(lines: DataFrame) -> list[DataFrame]:
         )
 
 
-def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
     """``doc_id, start, lines, deleted, source_doc_id, source_place``: the maximal runs that began earlier.
 
     ``deleted`` lists the line numbers; lines, start and source_place count lines that are not blank.
@@ -103,15 +107,21 @@ def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         for k, level in enumerate(rounds)
     ]
     at = min_lines.bit_length() - 1
+    long = lines.filter("false" if long_words is None else F.col("words") >= long_words).select("doc_id", "place").distinct()
+    single = copied[0].join(long, ["doc_id", "place"], "left_semi") if copied else None
     if len(copied) <= at:
         empty = lines.filter("false").select("doc_id", "place", F.lit(1).alias("length"), F.struct("doc_id", "place").alias("first"))
         copied = [empty] * (at + 1)
     longest = copied[at]
     for level in copied[at + 1 :]:
         longest = longest.union(level)
+    if single is not None:
+        longest = longest.union(single)
     longest = longest.groupBy("doc_id", "place").agg(F.max(F.struct("length", "first")).alias("best"))
-    covered = copied[at].select("doc_id", F.explode(F.sequence("place", F.col("place") + (min_lines - 1))).alias("place")).distinct()
-    covered = covered.join(lines.select("doc_id", "place", "line"), ["doc_id", "place"])
+    covered = copied[at].select("doc_id", F.explode(F.sequence("place", F.col("place") + (min_lines - 1))).alias("place"))
+    if single is not None:
+        covered = covered.union(single.select("doc_id", "place"))
+    covered = covered.distinct().join(lines.select("doc_id", "place", "line"), ["doc_id", "place"])
     in_order = Window.partitionBy("doc_id").orderBy("place")
     runs = (
         covered.withColumn("run", F.col("place") - F.row_number().over(in_order))
@@ -124,10 +134,10 @@ def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
     """All columns of ``docs`` with ``text`` cleaned, plus ``n_lines`` (not blank) and ``deleted`` (line numbers)."""
     lines = written(line_ids(docs), "lines")
-    gone = repeated_runs(lines, min_lines).groupBy(F.col("doc_id").alias("_id")).agg(
+    gone = repeated_runs(lines, min_lines, long_words).groupBy(F.col("doc_id").alias("_id")).agg(
         F.sort_array(F.flatten(F.collect_list("deleted"))).alias("deleted"), F.sum("lines").alias("n")
     )
     sizes = lines.groupBy(F.col("doc_id").alias("_of")).agg(F.countDistinct("place").alias("n_lines"))

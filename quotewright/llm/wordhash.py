@@ -83,6 +83,15 @@ def line_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return _pieces(a, begins, ends, _BYTES), solid[ends] > solid[begins], np.diff(np.searchsorted(begins, offsets))
 
 
+def line_words(texts: list[bytes]) -> np.ndarray:
+    """Words (parted by ASCII white space) of all lines, in the order of ``line_hashes``."""
+    a = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    space = _SPACE[a]
+    begun = np.concatenate(([0], np.cumsum(~space & np.concatenate(([True], space[:-1])))))
+    ends = np.flatnonzero(a == 10)
+    return np.diff(begun[ends], prepend=0)
+
+
 def shingles(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every run of ``width`` words within a text, in order, and their number in each text.
 

@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import public_tokenizers
 from quotewright.llm import annsearch, bpe, chat, linedup, minhash, mixing, passages, pii, simhash, toxicity
 from quotewright.llm.scratch import components
@@ -439,3 +440,12 @@ def test_a_run_names_the_place_it_was_copied_from(documents):
     rows = [(1, "x\nl1\nl2\nl3\nl4\ny"), (2, "l1\nl2\nz"), (3, "q\nl1\nl2\nl3\nl4\nr")]
     got = [(x.doc_id, x.start, x.lines, x.deleted, x.source_doc_id, x.source_place) for x in linedup.repeated_runs(linedup.line_ids(documents(rows))).orderBy("doc_id").collect()]
     assert got == [(2, 0, 2, [0, 1], 1, 1), (3, 1, 4, [1, 2, 3, 4], 1, 1)]
+
+
+def test_the_pipeline_deletes_single_long_lines(spark, documents):
+    long, short = prose("long", 50), prose("short", 49)
+    rows = [(1, f"a\n{long}\nb\n{short}"), (2, f"c\n{long}\n\nd\n{short}\ne"), (3, long), (4, f"{long}\nf")]
+    got = {x.doc_id: x.text for x in corpus_pipeline.drop_repeated_lines(spark, documents(rows), "").collect()}
+    assert got == {1: rows[0][1], 2: f"c\n\nd\n{short}\ne", 4: "f"}
+    runs = linedup.repeated_runs(linedup.line_ids(documents(rows)), long_words=50).collect()
+    assert {(x.doc_id, x.start, x.lines, x.source_doc_id, x.source_place) for x in runs} == {(i, p, 1, 1, 1) for i, p in ((2, 1), (3, 0), (4, 0))}
