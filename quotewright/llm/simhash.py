@@ -12,7 +12,11 @@ stretches of STRETCH terms whose counts cannot overflow a place.
 ``within_radius`` cuts a fingerprint into blocks. Two fingerprints that differ
 in at most ``radius`` bits agree in at least ``blocks - radius`` blocks, so
 with one table for each choice of that many blocks every such pair meets in
-some table; no pair is missed.
+some table; no pair is missed. That needs few tables for a small radius only.
+``near_members`` therefore cuts into eight blocks of 16 bits: of at most NEAR = 15
+differing bits, one block has at most one, so the queries probe each block as it
+is and with each of its bits turned, and again no pair is missed. Texts with cosine
+0.97 differ in 10 of 128 bits on average, with 0.95 in 13.
 
 Null and empty texts (and those of white space alone) have no votes and the
 all-zero fingerprint. Texts are taken whole. Repeated rows get equal results;
@@ -31,6 +35,9 @@ from quotewright.llm.scratch import written
 BITS = 128
 #: Terms counted before the places are unpacked; times the largest weight, 3, it stays under 2**16.
 STRETCH = 20_000
+#: Differing bits up to which texts count as near; less than twice the number of PROBED blocks.
+NEAR = 15
+PROBED = 8
 _PLACES = 0x0001000100010001
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -189,11 +196,44 @@ def hexadecimal(*halves: str) -> Column:
     return F.lower(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves]))
 
 
-def with_near(rows: DataFrame, every: int = 100, radius: int = 3) -> DataFrame:
-    """Adds ``n_near``: for ids divisible by ``every``, fingerprints within ``radius`` among all rows; else null."""
+def _probes(turned: bool) -> Column:
+    """Keys of the PROBED blocks; with ``turned`` also those with one bit turned."""
+    width, halves = BITS // PROBED, [F.col("f0"), F.col("f1")]
+    masks = [0, *(1 << n for n in range(width))] if turned else [0]
+    return F.explode(
+        F.array(*[_block(halves, PROBED, k).bitwiseXOR(F.lit(m)) + F.lit(k << width) for k in range(PROBED) for m in masks])
+    )
+
+
+def near_members(members: DataFrame, queries: DataFrame, radius: int = NEAR) -> DataFrame:
+    """``q0, q1, representative, copies, distance``: all of ``members`` within the radius of each query, itself included.
+
+    ``members`` has a row ``f0, f1, representative, copies`` for each fingerprint.
+    """
+    if not 0 <= radius < 2 * PROBED:
+        raise ValueError("the radius must be less than twice the number of blocks")
+    known = members.withColumn("key", _probes(False))
+    asked = queries.select("f0", "f1").distinct().withColumn("key", _probes(True)).withColumnsRenamed({"f0": "q0", "f1": "q1"})
+    apart = distance([F.col("f0"), F.col("f1")], [F.col("q0"), F.col("q1")])
+    met = asked.join(known, "key").withColumn("distance", apart).filter(F.col("distance") <= radius)
+    return met.select("q0", "q1", "representative", "copies", "distance").distinct()
+
+
+def with_near(rows: DataFrame, every: int = 100, radius: int = NEAR) -> DataFrame:
+    """Adds ``representative``, the smallest doc_id with the same fingerprint, and for ids divisible by ``every``
+    ``n_near``, the other documents within ``radius``, and ``near``, their fingerprints; else null.
+
+    ``near`` names each fingerprint, the own one included, by its representative, with its distance and its
+    documents, so that a text with many copies is one entry; its doc_ids are the rows with that representative.
+    """
     kept = written(rows, "fingerprints")
-    near = within_radius(kept, kept.filter(F.col("doc_id") % every == 0), radius)
-    counts = near.groupBy("q0", "q1").agg(F.count("*").alias("n"))
-    asked = kept.filter(F.col("doc_id") % every == 0).select("doc_id", F.col("f0").alias("q0"), F.col("f1").alias("q1"))
-    found = asked.join(counts, ["q0", "q1"], "left").select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_near"))
-    return kept.join(found, "doc_id", "left").drop("f0", "f1")
+    members = written(kept.groupBy("f0", "f1").agg(F.min("doc_id").alias("representative"), F.countDistinct("doc_id").alias("copies")), "members")
+    entry = F.struct("distance", "representative", "copies")
+    near = near_members(members, kept.filter(F.col("doc_id") % every == 0), radius).groupBy("q0", "q1").agg(
+        (F.sum("copies") - 1).alias("n_near"), F.sort_array(F.collect_list(entry)).alias("near")
+    )
+    own = members.select("f0", "f1", "representative").join(near, (F.col("f0") == F.col("q0")) & (F.col("f1") == F.col("q1")), "left").drop("q0", "q1")
+    asked = F.col("doc_id") % every == 0
+    return kept.join(own, ["f0", "f1"]).select(
+        *[c for c in kept.columns if c not in ("f0", "f1")], F.when(asked, F.col("n_near")).alias("n_near"), "representative", F.when(asked, F.col("near")).alias("near")
+    )

@@ -166,6 +166,26 @@ def test_no_fingerprint_within_the_radius_is_missed(spark):
     assert got == {halves(b) + halves(p) for b in base for p in points if 0 < bin(b ^ p).count("1") <= 3}
 
 
+def test_near_documents_are_found_with_their_copies_and_ids(spark):
+    r = random.Random(5)
+    base = [r.getrandbits(128) for _ in range(6)]
+    points = [b ^ sum(1 << k for k in r.sample(range(128), n)) for b in base for n in (0, 0, 0, 1, 6, 9, 13, 15, 16, 30)]
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    rows = [(i, signed(p & (2**64 - 1)), signed(p >> 64)) for i, p in enumerate(points)]
+    got = {x.doc_id: x for x in simhash.with_near(spark.createDataFrame(rows, "doc_id long, f0 long, f1 long"), every=10).collect()}
+    assert len(got) == len(points)
+    for i, x in got.items():
+        assert x.representative == points.index(points[i])
+        if i % 10:
+            assert x.n_near is None and x.near is None
+            continue
+        near = [j for j, p in enumerate(points) if bin(p ^ points[i]).count("1") <= 15]
+        assert x.n_near == len(near) - 1 >= 7
+        listed = {y.representative: (y.distance, y.copies) for y in x.near}
+        assert {j for j in got if got[j].representative in listed} == set(near)
+        assert all(d == bin(points[j] ^ points[i]).count("1") and n == points.count(points[j]) for j, (d, n) in listed.items())
+
+
 # -- 5 -------------------------------------------------------------------
 
 
