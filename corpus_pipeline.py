@@ -57,7 +57,7 @@ STAGES = [
     ("tokens", tokenize),
 ]
 
-#: Trees, components and dependent rounding have no SQL form; tests compare with a brute-force version.
+#: Trees, components and dependent rounding have no SQL form. Of the stages only line dedup has a test of its own; run() has none.
 ORACLE_SQL = None
 
 
