@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.llm import annsearch, bpe, chat, linedup, minhash, mixing, passages, pii, simhash, toxicity
+from quotewright.llm import annsearch, bpe, chat, hardneg, langid, linedup, minhash, mixing, passages, periods, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,9 +69,34 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.line_digests(_table(spark, sf_dir, "documents"))
 
 
+def _relabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings with the label moved on by one where the id is divisible by 7."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return _table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+
+
+def op11_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.mine(_relabelled(spark, sf_dir), F.col("vec_id") % 100 == 0)
+
+
+def op12_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.predict(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_digests(periods.with_planted_runs(_table(spark, sf_dir, "documents")))
+
+
+_QUERIES = (
+    op1_toxicity, op2_ann, op3_mixing, op4_simhash, op5_bpe, op6_passages, op7_minhash, op8_pii, op9_chat, op10_lines, op11_hardneg,
+    op12_langid, op13_periods,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_ann, op3_mixing, op4_simhash, op5_bpe, op6_passages, op7_minhash, op8_pii, op9_chat, op10_lines)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_lines": linedup.ORACLE_SQL}
+    return {"op10_lines": linedup.ORACLE_SQL, "op11_hardneg": hardneg.ORACLE_SQL}
