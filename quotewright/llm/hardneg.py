@@ -97,7 +97,7 @@ def _moments(batches):
         sizes = v.value_lengths().to_numpy()
         flat = v.flatten().to_numpy()
         for size in np.unique(sizes).tolist():
-            x = flat[np.repeat(sizes == size, sizes)].reshape(-1, size).astype(np.float64)
+            x = flat[np.repeat(sizes == size, sizes)].reshape(int((sizes == size).sum()), size).astype(np.float64)
             out = [np.arange(max(size, 1)), np.full(max(size, 1), size), np.full(max(size, 1), len(x))]
             out += [x.sum(axis=0), (x * x).sum(axis=0), np.abs(x).max(axis=0)] if size else [np.zeros(1)] * 3
             types = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
