@@ -29,6 +29,7 @@ from quotewright.operators import (  # noqa: E402
 )
 from quotewright.operators import calendar, quality  # noqa: E402
 from quotewright.operators.incremental import refreshed_metrics  # noqa: E402
+from quotewright.operators.ranges import metrics_between, metrics_of_days, newest_day  # noqa: E402
 from quotewright.plans import reports  # noqa: E402
 from quotewright.schemas import LISTING_RECORD, QUOTE_KEY, QUOTE_RECORD, SILVER_KEY, SILVER_QUOTE_FIELDS  # noqa: E402
 from quotewright.sinks import merge_rows  # noqa: E402
@@ -181,6 +182,19 @@ def _report(source: Query, report: Callable[..., DataFrame], round_metrics: bool
     return run
 
 
+def _day_report(report: Callable[..., DataFrame], round_metrics: bool = False, days: int = 0, by_sector: bool = False, **options) -> Query:
+    """A report on the newest day, or ``as_of``: its indicators come from a bounded tail of each instrument."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        quotes = _silver(spark, sf_dir)
+        last = options.get("as_of") or newest_day(quotes)
+        stocks = attach_master(metrics_of_days(quotes, last, days), _listing(spark, sf_dir))
+        result = report(sector_summary(stocks) if by_sector else stocks, **{**options, "as_of": last})
+        return _rounded(result) if round_metrics else result
+
+    return run
+
+
 def _training_data() -> list:
     """The modules with further queries, if that part of the library is there."""
     if not find_spec("quotewright.llm") or not find_spec("corpus_pipeline"):
@@ -237,18 +251,21 @@ def _market_queries() -> dict[str, Query]:
         "silver_stats": _report(_silver, reports.silver_stats),
         "calendar_gaps": _report(_bronze, calendar.calendar_gaps, as_of=AS_OF),
         "calendar_gaps_at_end": _report(_bronze, calendar.calendar_gaps, as_of="2001-11-25"),
-        "top_turnover": _report(_stocks, reports.top_turnover, round_metrics=True),
-        "ma_deviation_movers": _report(_stocks, reports.ma_deviation_movers, round_metrics=True),
-        "sector_recent": _report(_sectors, reports.sector_recent),
-        "gainers_losers": _report(_stocks, reports.gainers_losers, round_metrics=True),
-        "market_kpis": _report(_stocks, reports.market_kpis),
-        "market_kpis_on_day": _report(_stocks, reports.market_kpis, as_of=AS_OF),
-        "sector_latest": _report(_sectors, reports.sector_latest),
+        "top_turnover": _day_report(reports.top_turnover, round_metrics=True),
+        "ma_deviation_movers": _day_report(reports.ma_deviation_movers, round_metrics=True),
+        "sector_recent": _day_report(reports.sector_recent, days=7, by_sector=True),
+        "gainers_losers": _day_report(reports.gainers_losers, round_metrics=True),
+        "market_kpis": _day_report(reports.market_kpis),
+        "market_kpis_on_day": _day_report(reports.market_kpis, as_of=AS_OF),
+        "sector_latest": _day_report(reports.sector_latest, by_sector=True),
         "stock_series": _report(_stocks, reports.stock_series, round_metrics=True, code="0", as_of=AS_OF),
-        "return_ranking": _report(_stocks, reports.return_ranking),
-        "volatility_vs_return": _report(
-            _stocks, reports.volatility_vs_return, min_turnover=1e6, as_of=AS_OF
-        ),
+        "return_ranking": _day_report(reports.return_ranking),
+        "volatility_vs_return": _day_report(reports.volatility_vs_return, min_turnover=1e6, as_of=AS_OF),
+        # Limits that cut at every scale.
+        "top_turnover_3": _day_report(reports.top_turnover, round_metrics=True, rows=3),
+        "ma_deviation_movers_3": _day_report(reports.ma_deviation_movers, round_metrics=True, rows=3),
+        "volatility_vs_return_3": _day_report(reports.volatility_vs_return, min_turnover=1.0, rows=3),
+        "metrics_between": lambda spark, d: _rounded(metrics_between(_silver(spark, d), "1999-07-01", AS_OF)),
         "market_turnover": _report(_stocks, reports.market_turnover, as_of=AS_OF),
         "curated_view": _report(_stocks, reports.curated_view, round_metrics=True, as_of=AS_OF),
     }

@@ -239,6 +239,21 @@ QUERIES = {
         SELECT code, company_name, sector17_name, close, round((close / nullif(ma25, 0) - 1) * 100, 2) AS pct_above_ma25,
                volume, {rounded(['ma25', 'return_1d', 'return_5d', 'volatility_20d'])}
         FROM latest ORDER BY abs(return_1d) DESC NULLS LAST, code LIMIT 50""",
+    "top_turnover_3": f"""
+        SELECT trade_date, code, company_name, sector17_name, close,
+               {rounded(['return_1d', 'return_5d', 'ma5', 'ma25', 'volatility_20d'])}
+        FROM latest ORDER BY turnover_value DESC, code LIMIT 3""",
+    "ma_deviation_movers_3": f"""
+        SELECT code, company_name, sector17_name, close, round((close / nullif(ma25, 0) - 1) * 100, 2) AS pct_above_ma25,
+               volume, {rounded(['ma25', 'return_1d', 'return_5d', 'volatility_20d'])}
+        FROM latest ORDER BY abs(return_1d) DESC NULLS LAST, code LIMIT 3""",
+    "volatility_vs_return_3": """
+        SELECT code, company_name, sector17_name, round(return_5d, 2) AS return_5d,
+               round(volatility_20d, 2) AS volatility_20d, round(turnover_value / 1e6, 1) AS turnover_m_jpy
+        FROM latest WHERE return_5d IS NOT NULL AND volatility_20d IS NOT NULL
+          AND turnover_value > 1 ORDER BY turnover_value DESC, code LIMIT 3""",
+    "metrics_between": f"""SELECT {PRICES}, {rounded(METRIC_COLUMNS)} FROM metrics
+        WHERE trade_date BETWEEN DATE '1999-07-01' AND {AS_OF}""",
     "sector_recent": """
         SELECT sector17_name, round(avg(avg_return_1d), 3) AS avg_daily_return,
                round(avg(avg_return_5d), 3) AS avg_5d_return,

@@ -13,8 +13,10 @@ from quotewright.functions import as_date
 WEEKEND, MISSING, TRADED = "Weekend", "⚠️ Missing (possible holiday)", "OK"
 
 
-def day(as_of: date | str | None) -> Column:
-    """The given day, or the session's current date."""
+def day(as_of: date | str | Column | None) -> Column:
+    """The given day, also one that is found by a subquery, or the session's current date."""
+    if isinstance(as_of, Column):
+        return as_of
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 

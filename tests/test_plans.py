@@ -8,6 +8,7 @@ from quotewright.operators import attach_master, listing_to_silver, quotes_to_si
 from quotewright.operators.calendar import calendar_gaps
 from quotewright.operators.incremental import refreshed_metrics
 from quotewright.operators.quality import quality_checks
+from quotewright.operators.ranges import metrics_between, metrics_of_days
 from quotewright.plans import reports
 from quotewright.sinks import overwrite_table
 from quotewright.sources import derived
@@ -105,3 +106,13 @@ def test_large_listing_is_not_broadcast(spark, stored):
 def test_sector_totals_are_reduced_before_the_exchange(stored):
     plan = plan_of(sector_summary(stored("stocks")))
     assert plan.index("Exchange hashpartitioning(trade_date") < plan.index("partial_avg")
+
+
+@pytest.mark.parametrize("metrics", [metrics_of_days, lambda quotes: metrics_between(quotes, "2001-10-01", "2001-10-05")])
+def test_indicators_of_days_trim_before_the_only_exchange(stored, metrics):
+    plan = plan_of(metrics(stored("silver")))
+    # Other exchanges belong to the subquery for the newest day, one row a task.
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(code") == 1
+    # Printed from the sink down: the trim of each task stands below the exchange.
+    below = plan[plan.index("Exchange hashpartitioning(code") :]
+    assert "WindowGroupLimit" in below and ", Partial" in below
