@@ -8,6 +8,7 @@ here, and only here, because engines add doubles in different orders.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from importlib.util import find_spec
 from pathlib import Path
@@ -27,14 +28,16 @@ from quotewright.operators import (  # noqa: E402
     sector_summary,
     stock_metrics,
 )
-from quotewright.operators import calendar, quality  # noqa: E402
+from quotewright.operators import calendar, distinct, quality  # noqa: E402
+from quotewright.operators.cleanse import between_dates  # noqa: E402
 from quotewright.operators.incremental import refreshed_metrics  # noqa: E402
 from quotewright.operators.ranges import metrics_between, metrics_of_days, newest_day  # noqa: E402
-from quotewright.plans import reports  # noqa: E402
+from quotewright.plans import reports, sqlfunctions  # noqa: E402
 from quotewright.schemas import LISTING_RECORD, QUOTE_KEY, QUOTE_RECORD, SILVER_KEY, SILVER_QUOTE_FIELDS  # noqa: E402
-from quotewright.sinks import merge_rows  # noqa: E402
+from quotewright.sinks import append_rows, compact, merge_rows, overwrite_table, upsert  # noqa: E402
+from quotewright.sinks.tables import scratch_dir  # noqa: E402
 from quotewright.sources import derived  # noqa: E402
-from quotewright.sources.landing import quotes_from_text, split_records, with_audit  # noqa: E402
+from quotewright.sources.landing import SOURCE_FILE, quotes_from_text, read_array, split_records, with_audit  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +100,22 @@ def _spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renamed.unionByName(renamed.filter(F.dayofmonth("trade_date") == 16))
 
 
+def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes that fail every check: missing days and codes, crossed ranges and negative volumes as well."""
+    on = F.dayofmonth("trade_date")
+    spoilt = _spoilt(spark, sf_dir)
+    return spoilt.select(
+        F.when(on != 3, F.col("trade_date")).alias("trade_date"),
+        F.when(on != 4, F.col("code")).alias("code"),
+        "open",
+        F.when(on == 5, F.col("low") - 1).otherwise(F.col("high")).alias("high"),
+        "low",
+        "close",
+        F.when(on == 6, -F.col("volume")).otherwise(F.col("volume")).alias("volume"),
+        *spoilt.columns[spoilt.columns.index("volume") + 1 :],
+    )
+
+
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newer quotes and restated closes of the last loaded month."""
     restated = F.when(F.col("Date") <= AS_OF, F.col("AdjustmentClose") + 1).otherwise(F.col("AdjustmentClose"))
@@ -146,13 +165,15 @@ def metrics_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(refreshed_metrics(quotes, changes))
 
 
+_QUALITY_RUNS = (
+    (_spoilt, "bronze_renamed", "2000-06-30 07:00:00"),
+    (_silver, "silver_quotes", "2000-06-29 07:00:00"),
+    (_silver, "silver_quotes", "2000-06-27 07:00:00"),
+)
+
+
 def _quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = [
-        (_spoilt, "bronze_renamed", "2000-06-30 07:00:00"),
-        (_silver, "silver_quotes", "2000-06-29 07:00:00"),
-        (_silver, "silver_quotes", "2000-06-27 07:00:00"),
-    ]
-    logs = [quality.quality_checks(source(spark, sf_dir), name, at) for source, name, at in runs]
+    logs = [quality.quality_checks(source(spark, sf_dir), name, at) for source, name, at in _QUALITY_RUNS]
     return logs[0].unionByName(logs[1]).unionByName(logs[2])
 
 
@@ -160,6 +181,103 @@ def _failing_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_checks(_spoilt(spark, sf_dir), "bronze_renamed", "2000-06-30 07:00:00")
 
 
+CHECKED_AT = "2000-06-30 07:00:00"
+
+
+def quality_of_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of all quotes from the days' profile, of which only the days since the last month were checked anew."""
+    quotes = _broken(spark, sf_dir)
+    before = quality.quality_profile(quotes.filter(F.col("trade_date").isNull() | (F.col("trade_date") <= F.lit(AS_OF).cast("date"))))
+    changed = quotes.filter(F.col("trade_date") >= F.lit(BATCH_FROM).cast("date"))
+    return quality.checks_of_profile(quality.replaced_days(before, quotes, changed), "bronze_renamed", CHECKED_AT)
+
+
+def _day_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code sets of the loaded days, those since the last month counted anew."""
+    bronze = _bronze(spark, sf_dir)
+    dictionary = distinct.code_dictionary(bronze.select(F.col("Code").alias("code")))
+    batch = bronze.filter(F.col("Date") >= BATCH_FROM)
+    loaded = distinct.day_records(bronze.filter(F.col("Date") <= AS_OF), dictionary)
+    return distinct.replace_days(loaded, distinct.day_records(batch, dictionary), batch.select(F.col("Date").alias("day")))
+
+
+def ingest_counts_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newest = distinct.counts_by_day(_day_records(spark, sf_dir)).orderBy(F.desc("day")).limit(30)
+    return newest.withColumnRenamed("day", "trade_date")
+
+
+def bronze_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct.counts_of_all(_day_records(spark, sf_dir)).select(
+        F.col("last_day").alias("last_loaded_date"), F.col("days").alias("loaded_days"), "stock_count", "total_records"
+    )
+
+
+def landed_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes landed as one JSON array a month and read back by many tasks."""
+    path = f"{scratch_dir(spark)}/landed/{uuid.uuid4().hex}"
+    derived.land_arrays(_bronze(spark, sf_dir), path)
+    accepted, _ = split_records(with_audit(read_array(spark, path), INGESTED))
+    return accepted.drop("_loaded_at", SOURCE_FILE)
+
+
+def _new_table(spark: SparkSession, name: str) -> str:
+    """A table name that no other run uses."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS round_trips")
+    return f"round_trips.{name}_{uuid.uuid4().hex}"
+
+
+def stored_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written by year, updated with the batch, compacted and read back."""
+    table, keys = _new_table(spark, "quotes"), ["trade_year", *SILVER_KEY]
+
+    def by_year(quotes: DataFrame) -> DataFrame:
+        return quotes.withColumn("trade_year", F.year("trade_date"))
+
+    loaded = _silver(spark, sf_dir).filter(F.col("trade_date") <= F.lit(AS_OF).cast("date"))
+    overwrite_table(by_year(loaded), table, "trade_year", ["code"])
+    upsert(by_year(quotes_to_silver(_batch(spark, sf_dir))), table, keys, "trade_year")
+    compact(spark, table, "trade_year", ["code"])
+    return spark.table(table).drop("trade_year")
+
+
+def stored_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older listing written whole, then updated by the newer one and read back."""
+    newer, older = "2000-06-30", "1999-06-30"
+    table = _new_table(spark, "listing")
+    records = derived.listing_snapshots(spark, sf_dir, newer, older)
+    overwrite_table(records.filter((F.col("Date") == older) & ((F.col("ScaleCategory") == "Large") | (F.col("MarketCode") == "0"))), table)
+    upsert(records.filter((F.col("Date") == newer) & (F.col("MarketCode") != "0")), table, ["Code"], newest_by=["Date"])
+    return spark.table(table)
+
+
+def stored_quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs' checks appended to a log table, then the summary of the last day."""
+    table = _new_table(spark, "quality")
+    for source, name, at in _QUALITY_RUNS:
+        append_rows(quality.quality_checks(source(spark, sf_dir), name, at), table)
+    return reports.quality_summary(spark.table(table), AS_OF)
+
+
+class _Views:
+    """Temporary views in the place of the Gold tables."""
+
+    stocks, sectors = "view_stock_with_master", "view_sector_summary"
+
+
+def _sql(call: str, round_metrics: bool = False) -> Query:
+    """A report called as a SQL table function."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stocks = _stocks(spark, sf_dir)
+        stocks.createOrReplaceTempView(_Views.stocks)
+        sector_summary(stocks).createOrReplaceTempView(_Views.sectors)
+        sqlfunctions.register_reports(spark, _Views, prefix="report_", temporary=True)
+        result = spark.sql(f"SELECT * FROM report_{call}")
+        return _rounded(result) if round_metrics else result
+
+    return run
+
+
 def load_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = _bronze(spark, sf_dir).filter(F.col("Date") <= AS_OF)
     return calendar.next_increment(loaded, "2000-07-30")
@@ -214,7 +332,7 @@ def queries() -> dict[str, Query]:
 
 
 def _market_queries() -> dict[str, Query]:
-    checked_at = "2000-06-30 07:00:00"
+    checked_at = CHECKED_AT
     return {
         "bronze_quotes": bronze_quotes,
         "bronze_listing": bronze_listing,
@@ -243,12 +361,23 @@ def _market_queries() -> dict[str, Query]:
             _silver, quality.quality_checks, table_name="silver_quotes", checked_at=checked_at
         ),
         "quality_checks_failing": _failing_checks,
+        "quality_checks_broken": _report(_broken, quality.quality_checks, table_name="bronze_renamed", checked_at=checked_at),
+        "quality_of_profile": quality_of_profile,
+        "quality_checks_range": lambda spark, d: quality.quality_checks(
+            between_dates(_broken(spark, d), "trade_date", "1999-07-01", AS_OF), "bronze_renamed", checked_at
+        ),
         "quality_report": _report(_failing_checks, quality.quality_report),
         "quality_summary": _report(_quality_log, reports.quality_summary, as_of=AS_OF),
         "newest_quality_rows": _report(_quality_log, reports.newest_quality_rows),
         "daily_ingest_counts": _report(_bronze, reports.daily_ingest_counts),
         "bronze_stats": _report(_bronze, reports.bronze_stats),
         "silver_stats": _report(_silver, reports.silver_stats),
+        "ingest_counts_merged": ingest_counts_merged,
+        "bronze_stats_merged": bronze_stats_merged,
+        "landed_arrays": landed_arrays,
+        "stored_quotes": stored_quotes,
+        "stored_listing": stored_listing,
+        "stored_quality_log": stored_quality_log,
         "calendar_gaps": _report(_bronze, calendar.calendar_gaps, as_of=AS_OF),
         "calendar_gaps_at_end": _report(_bronze, calendar.calendar_gaps, as_of="2001-11-25"),
         "top_turnover": _day_report(reports.top_turnover, round_metrics=True),
@@ -261,6 +390,12 @@ def _market_queries() -> dict[str, Query]:
         "stock_series": _report(_stocks, reports.stock_series, round_metrics=True, code="0", as_of=AS_OF),
         "return_ranking": _day_report(reports.return_ranking),
         "volatility_vs_return": _day_report(reports.volatility_vs_return, min_turnover=1e6, as_of=AS_OF),
+        "sql_return_ranking": _sql("return_ranking()"),
+        "sql_top_turnover": _sql("top_turnover(top => 3)", round_metrics=True),
+        "sql_gainers_losers": _sql("gainers_losers()", round_metrics=True),
+        "sql_market_kpis": _sql(f"market_kpis(DATE '{AS_OF}')"),
+        "sql_stock_series": _sql(f"stock_series('0', DATE '{AS_OF}')", round_metrics=True),
+        "sql_sector_recent": _sql("sector_recent()"),
         # Limits that cut at every scale.
         "top_turnover_3": _day_report(reports.top_turnover, round_metrics=True, rows=3),
         "ma_deviation_movers_3": _day_report(reports.ma_deviation_movers, round_metrics=True, rows=3),

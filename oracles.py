@@ -93,6 +93,14 @@ CTES = {
     "loaded": f"""SELECT * FROM bronze WHERE CAST("Date" AS DATE) <= {AS_OF}""",
     "spoilt": """
         SELECT * FROM renamed UNION ALL SELECT * FROM renamed WHERE day(trade_date) = 16""",
+    "broken": """
+        SELECT * REPLACE (
+            CASE WHEN day(trade_date) <> 3 THEN trade_date END AS trade_date,
+            CASE WHEN day(trade_date) <> 4 THEN code END AS code,
+            CASE WHEN day(trade_date) = 5 THEN low - 1 ELSE high END AS high,
+            CASE WHEN day(trade_date) = 6 THEN -volume ELSE volume END AS volume)
+        FROM spoilt""",
+    "broken_range": f"SELECT * FROM broken WHERE trade_date BETWEEN DATE '1999-07-01' AND {AS_OF}",
 }
 
 METRIC_COLUMNS = (
@@ -308,6 +316,26 @@ QUERIES = {
 }
 
 
+# Further ways to the same results: stored tables, merged counts, SQL functions.
+QUERIES |= {
+    "quality_checks_broken": f"SELECT {CHECK_COLUMNS} FROM ({checks('broken', 'bronze_renamed', '2000-06-30 07:00:00')})",
+    "quality_of_profile": f"SELECT {CHECK_COLUMNS} FROM ({checks('broken', 'bronze_renamed', '2000-06-30 07:00:00')})",
+    "quality_checks_range": f"SELECT {CHECK_COLUMNS} FROM ({checks('broken_range', 'bronze_renamed', '2000-06-30 07:00:00')})",
+    "ingest_counts_merged": QUERIES["daily_ingest_counts"],
+    "bronze_stats_merged": QUERIES["bronze_stats"],
+    "landed_arrays": QUERIES["bronze_quotes"],
+    "stored_quotes": QUERIES["upsert_silver"],
+    "stored_listing": QUERIES["upsert_listing"],
+    "stored_quality_log": QUERIES["quality_summary"],
+    "sql_return_ranking": QUERIES["return_ranking"],
+    "sql_top_turnover": QUERIES["top_turnover_3"],
+    "sql_gainers_losers": QUERIES["gainers_losers"],
+    "sql_market_kpis": QUERIES["market_kpis_on_day"],
+    "sql_stock_series": QUERIES["stock_series"],
+    "sql_sector_recent": QUERIES["sector_recent"],
+}
+
+
 def statement(body: str) -> str:
     """The query with every table expression in front; unused ones cost nothing."""
     ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items())

@@ -64,12 +64,44 @@ def quality_checks(quotes: DataFrame, table_name: str, checked_at: datetime | st
     The row checks are one aggregate over the whole table. Only the duplicate
     check needs an exchange, and that pass reads just the two key columns.
     """
-    stamp = F.current_timestamp() if checked_at is None else F.lit(str(checked_at)).cast("timestamp")
     failed_of = {check.name: F.count_if(F.expr(check.fails_when)) for check in ROW_CHECKS}
     totals = quotes.agg(
         F.count(F.lit(1)).alias("row_count"), *[c.alias(name) for name, c in failed_of.items()]
     ).withColumn(DUPLICATES.name, surplus_rows(quotes).scalar())
 
+    return _log_rows(totals, table_name, checked_at)
+
+
+def quality_profile(quotes: DataFrame) -> DataFrame:
+    """One row a day that adds up: its rows, and the failures of every check.
+
+    Rows without a day have a row of their own (``trade_date`` null). A duplicate is a
+    row beyond the first of its (trade_date, code), so a day's duplicates lie within
+    the day. Rows are reduced to one a key in each task; no second scan is needed.
+    """
+    day, code = SILVER_KEY
+    failed = {check.name: F.count_if(F.expr(check.fails_when)) for check in ROW_CHECKS}
+    by_key = quotes.groupBy(day, code).agg(F.count(F.lit(1)).alias("row_count"), *[c.alias(name) for name, c in failed.items()])
+    sums = [F.sum(f"`{name}`").alias(name) for name in failed]
+    return by_key.groupBy(day).agg(F.sum("row_count").alias("row_count"), *sums, F.sum(F.col("row_count") - 1).alias(DUPLICATES.name))
+
+
+def replaced_days(profile: DataFrame, quotes: DataFrame, changed: DataFrame) -> DataFrame:
+    """The profile after the days in ``changed`` (column ``trade_date``) were checked anew in ``quotes``.
+
+    The other days keep their rows; only the changed ones are read. A day that has no quotes left goes.
+    """
+    day = SILVER_KEY[0]
+    days = changed.select(F.col(day).alias("_day")).distinct()
+    same = F.col(day).eqNullSafe(F.col("_day"))
+    kept = profile.join(days, same, "left_anti")
+    return kept.unionByName(quality_profile(quotes.join(days, same, "left_semi")))
+
+
+def _log_rows(totals: DataFrame, table_name: str, checked_at: datetime | str | None) -> DataFrame:
+    """One log row per check from one row of counts, named like the checks."""
+    stamp = F.current_timestamp() if checked_at is None else F.lit(str(checked_at)).cast("timestamp")
+
     def result(check: RowCheck) -> Column:
         failed = F.col(f"`{check.name}`")
         return F.struct(
@@ -85,6 +117,13 @@ def quality_checks(quotes: DataFrame, table_name: str, checked_at: datetime | st
     ).select(*QUALITY_LOG.names)
 
 
+def checks_of_profile(profile: DataFrame, table_name: str, checked_at: datetime | str | None = None) -> DataFrame:
+    """The same log rows as ``quality_checks`` of the whole table, from the days' rows."""
+    names = ["row_count", *[check.name for check in (*ROW_CHECKS, DUPLICATES)]]
+    totals = profile.agg(*[F.coalesce(F.sum(f"`{n}`"), F.lit(0)).alias(n) for n in names])
+    return _log_rows(totals, table_name, checked_at)
+
+
 def quality_report(checks: DataFrame) -> DataFrame:
     """Overall verdict and printable summary per table, over its check rows."""
     position = F.array_position(F.array(*[F.lit(n) for n in CHECK_ORDER]), F.col("check_name"))

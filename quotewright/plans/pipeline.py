@@ -172,13 +172,12 @@ def refresh_gold(
     def touched(table: str) -> DataFrame:
         return current_table(spark, table).filter(F.col(DAY).isin(list(written.partitions)))
 
+    rows |= {"stock_with_master": 0, "sector_summary": 0}
     if written.partitions:
         stocks = _stamped(_joined(touched(names.metrics), spark, names), "_gold_updated_at")
-        replace_partitions(stocks, names.stocks, DAY, ["code"], written.partitions)
+        rows["stock_with_master"] = replace_partitions(stocks, names.stocks, DAY, ["code"], written.partitions)
         sectors = _stamped(sector_summary(touched(names.stocks), windows), "_gold_updated_at")
-        replace_partitions(sectors, names.sectors, DAY, ["sector17_name"], written.partitions)
-    rows["stock_with_master"] = touched(names.stocks).count() if written.partitions else 0
-    rows["sector_summary"] = touched(names.sectors).count() if written.partitions else 0
+        rows["sector_summary"] = replace_partitions(sectors, names.sectors, DAY, ["sector17_name"], written.partitions)
     return rows
 
 

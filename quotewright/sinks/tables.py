@@ -11,17 +11,21 @@ write to that table. One writer per table at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.operators.dedupe import latest_per_key
 from quotewright.sources.catalog import current_table, table_exists
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+TYPE_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
+#: Mean size below which several files of a partition are merged. Well under the size
+#: that ``rebalance`` aims at, so that a partition just rewritten is left alone.
+SMALL_FILE_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -74,14 +78,18 @@ def _discard(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """``insertInto`` takes the overwrite mode from the session only."""
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+        spark.conf.set(name, before)
+
+
+def _dynamic_overwrite(spark: SparkSession):
+    """``insertInto`` takes the overwrite mode from the session only."""
+    return _setting(spark, OVERWRITE_MODE, "dynamic")
 
 
 # -- layout ----------------------------------------------------------------
@@ -98,6 +106,15 @@ def _laid_out(df: DataFrame, partition_by: str | None, sort_by: Sequence[str]) -
     return df.sortWithinPartitions(*order) if order else df
 
 
+def _counted(laid_out: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame with a count of its rows, taken by the tasks that write them.
+
+    Above the exchange that lays the rows out: there a task counts once even if it is repeated.
+    """
+    seen = Observation()
+    return laid_out.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 # -- whole-table writes ------------------------------------------------------
 
 
@@ -122,19 +139,20 @@ def _whole_write(spark: SparkSession, table: str) -> Iterator[None]:
 def overwrite_table(
     df: DataFrame, table: str, partition_by: str | None = None, sort_by: Sequence[str] = ()
 ) -> int:
-    """Replace a table and return its row count, read from the Parquet footers.
+    """Replace a table and return its row count, observed by the write itself.
 
     ``df`` must not read ``table`` itself.
     """
     spark = df.sparkSession
-    writer = _laid_out(df, partition_by, sort_by).write.format("parquet").mode("overwrite")
+    counted, seen = _counted(_laid_out(df, partition_by, sort_by))
+    writer = counted.write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     with _whole_write(spark, table):
         writer.saveAsTable(table)
     # A staged copy of the former contents has nothing left to repair.
     _discard(spark, _staging_path(spark, table))
-    return current_table(spark, table).count()
+    return seen.get["rows"]
 
 
 def append_rows(df: DataFrame, table: str) -> None:
@@ -169,15 +187,16 @@ def finish_pending(spark: SparkSession, table: str) -> bool:
 
 def replace_partitions(
     df: DataFrame, table: str, partition_by: str | None, sort_by: Sequence[str] = (), values: Iterable = ()
-) -> None:
-    """Replace exactly the partitions that occur in ``df`` (or an unpartitioned table).
+) -> int:
+    """Replace exactly the partitions that occur in ``df`` (or an unpartitioned table); returns the rows written.
 
     Partitions named in ``values`` that ``df`` has no row for are dropped.
     ``df`` may read ``table``; a staged copy left behind must not be pending.
     """
     spark = df.sparkSession
     staged = _staging_path(spark, table)
-    writer = _laid_out(df, partition_by, sort_by).write.mode("overwrite")
+    counted, seen = _counted(_laid_out(df, partition_by, sort_by))
+    writer = counted.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(staged)
@@ -188,6 +207,7 @@ def replace_partitions(
         for value in sorted(set(values) - filled):
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = '{value}')")
     _publish(spark, table, staged)
+    return seen.get["rows"]
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -252,19 +272,47 @@ def upsert(
     return Written(rows, tuple(sorted(sizes)))
 
 
+def file_sizes(spark: SparkSession, table: str, partition_by: str | None = None) -> DataFrame:
+    """``partition, path, bytes`` of a table's data files, from their listing alone: no file is opened."""
+    location = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'").first().data_type
+    kind = current_table(spark, table).schema[partition_by].dataType if partition_by else "string"
+    with _setting(spark, TYPE_INFERENCE, "false"):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(location)
+    value = F.col(partition_by) if partition_by and partition_by in files.columns else F.lit(None)
+    return files.select(value.cast(kind).alias("partition"), "path", F.col("length").alias("bytes"))
+
+
+def scattered(spark: SparkSession, table: str, partition_by: str | None = None, small_bytes: int = SMALL_FILE_BYTES) -> DataFrame:
+    """``partition, files, bytes`` of the partitions in several files that are small on average."""
+    sizes = file_sizes(spark, table, partition_by).groupBy("partition").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    return sizes.filter((F.col("files") > 1) & (F.col("bytes") < small_bytes * F.col("files")))
+
+
 def compact(
     spark: SparkSession,
     table: str,
     partition_by: str | None,
     cluster_by: Sequence[str] = (),
     since: str | None = None,
-) -> None:
-    """Rewrite partitions into well-sized files sorted by the clustering columns.
+    small_bytes: int = SMALL_FILE_BYTES,
+) -> tuple:
+    """Rewrite partitions that lie in too many small files into well-sized ones, sorted by the clustering columns.
 
-    ``since`` restricts the rewrite to partitions from that value on.
+    Which ones is decided from the file listing; the others are neither read nor
+    touched. ``since`` restricts the rewrite to partitions from that value on.
+    Returns the partitions rewritten, ``(None,)`` for a table without partitions.
     """
     finish_pending(spark, table)
+    poor = scattered(spark, table, partition_by, small_bytes)
     df = current_table(spark, table)
     if since is not None and partition_by:
-        df = df.filter(F.col(partition_by) >= F.lit(since).cast(df.schema[partition_by].dataType))
+        poor = poor.filter(F.col("partition") >= F.lit(since).cast(df.schema[partition_by].dataType))
+    # At most one row for each calendar day.
+    values = tuple(sorted((r[0] for r in poor.select("partition").collect()), key=str))
+    if not values:
+        return ()
+    if partition_by:
+        named = F.col(partition_by).isin([v for v in values if v is not None])
+        df = df.filter(named | F.col(partition_by).isNull() if None in values else named)
     replace_partitions(df, table, partition_by, cluster_by)
+    return values

@@ -6,7 +6,7 @@ instrument, each ship date a trading day, each line item a trade.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotewright.schemas import LISTING_RECORD, QUOTE_RECORD
@@ -117,3 +117,15 @@ def listing_snapshots(
         "CompanyName", F.concat("CompanyName", F.lit(" (old)"))
     )
     return current.unionByName(outdated)
+
+
+def land_arrays(records: DataFrame, path: str) -> None:
+    """Write quote records as landed files, one JSON array for each month."""
+    of_month = Window.partitionBy("month").orderBy("Date", "Code")
+    first, last = F.lag("Date").over(of_month).isNull(), F.lead("Date").over(of_month).isNull()
+    line = F.concat(
+        F.when(first, "[\n").otherwise(",\n"), F.to_json(F.struct(*QUOTE_RECORD.names)), F.when(last, "\n]").otherwise("")
+    )
+    months = records.withColumn("month", F.substring("Date", 1, 7)).select("month", line.alias("value"))
+    # The windows leave each month in one task, in order.
+    months.write.partitionBy("month").text(path)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewright.functions import as_date
+from quotewright.functions import as_date, rows_so_far
 from quotewright.schemas import LISTING_RECORD, QUOTE_RECORD
 
 UNPARSED = "_corrupt_record"
@@ -19,8 +19,8 @@ SOURCE_FILE = "_source_file"
 def _options(layout: str) -> dict[str, str]:
     """Reader options for ``lines`` (one record per line) or ``array`` files.
 
-    A file holding one JSON array has to be read by a single task, so such files
-    should stay small (one per month or increment); JSON Lines files split.
+    With ``array`` a file is read by a single task, as streams have to; ``read_array``
+    splits large ones over tasks. JSON Lines files always split.
     """
     if layout not in ("lines", "array"):
         raise ValueError(f"unknown layout {layout!r}: use 'lines' or 'array'")
@@ -43,6 +43,58 @@ def read_records(
     return reader.json(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
+#: What stands where a record begins: an unescaped quote with a name behind it opens a key. Inside a
+#: string such a quote would end the string, and no name can follow there.
+_RECORD_BEGINS = r'^\s*[\[,]?\s*\{\s*"[A-Za-z_]\w*"\s*:'
+
+
+def _joined_pieces(pieces: str) -> Column:
+    """The pieces (place, value) of one record in their order, with the braces that parted them."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(pieces)), lambda p: p["value"]), "}")
+
+
+def read_array(spark: SparkSession, path: str, record: T.StructType = QUOTE_RECORD) -> DataFrame:
+    """Scan files that hold one JSON array each, every file by as many tasks as it has blocks.
+
+    Same columns as ``read_records``. The files are read as text that is parted by closing braces,
+    which splits at any byte. A piece that begins with a key opens a record; others,
+    cut off by a brace inside a string or a nested object, go on with the record before them. Pieces
+    are put together within their block, and only the first and last record of each block
+    with those of the neighbouring blocks.
+
+    Records have at least one key, and none of their fields is an array of objects. A record
+    that does not parse is one malformed record; the others of its file are kept, while the
+    multi-line reader gives up the whole file. What stands between records is dropped.
+    """
+    file, block = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    pieces = spark.read.option("lineSep", "}").text(path).select(file, block, F.monotonically_increasing_id().alias("place"), "value")
+    of_block = Window.partitionBy("file", "block").orderBy("place")
+    begun = F.last(F.when(F.col("value").rlike(_RECORD_BEGINS), F.col("place")), ignorenulls=True).over(rows_so_far(of_block))
+    records = pieces.withColumn("begun", begun).groupBy("file", "block", "begun").agg(
+        F.min("place").alias("place"), _joined_pieces(F.struct("place", "value")).alias("value")
+    )
+    # One record of each block may go on in the next one, and what a block begins with may belong to the one before.
+    last = F.lead("place").over(of_block).isNull()
+    records = records.withColumn("edge", F.col("begun").isNull() | last)
+    inner = records.filter(~F.col("edge")).select("file", F.concat("value", F.lit("}")).alias("value"))
+    of_file = Window.partitionBy("file").orderBy("block", "place")
+    opened = F.last(F.when(F.col("begun").isNotNull(), F.struct("block", "begun")), ignorenulls=True).over(rows_so_far(of_file))
+    edges = (
+        records.filter("edge")
+        .withColumns({"opened": opened, "tail": F.lead("place").over(of_file).isNull()})
+        .groupBy("file", "opened")
+        .agg(F.max("tail").alias("tail"), _joined_pieces(F.struct(F.struct("block", "place").alias("place"), "value")).alias("value"))
+    )
+    # Behind the last brace of a file comes the end of the array; other records end with their brace.
+    ended = F.when(F.col("tail"), F.regexp_replace("value", r"\s*\]?\s*$", "")).otherwise(F.concat("value", F.lit("}")))
+    whole = inner.union(edges.select("file", ended.alias("value")))
+    text = F.regexp_replace("value", r"^\s*[\[,]?\s*", "")
+    options = {"columnNameOfCorruptRecord": UNPARSED, "mode": "PERMISSIVE"}
+    parsed = F.from_json("value", _with_unparsed(record), options)
+    whole = whole.select("file", text.alias("value")).filter("value != ''")
+    return whole.select(F.inline(F.array(parsed)), F.col("file").alias(SOURCE_FILE))
+
+
 def stream_records(
     spark: SparkSession,
     path: str,

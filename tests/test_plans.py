@@ -9,7 +9,7 @@ from quotewright.operators.calendar import calendar_gaps
 from quotewright.operators.incremental import refreshed_metrics
 from quotewright.operators.quality import quality_checks
 from quotewright.operators.ranges import metrics_between, metrics_of_days
-from quotewright.plans import reports
+from quotewright.plans import reports, sqlfunctions
 from quotewright.sinks import overwrite_table
 from quotewright.sources import derived
 
@@ -116,3 +116,61 @@ def test_indicators_of_days_trim_before_the_only_exchange(stored, metrics):
     # Printed from the sink down: the trim of each task stands below the exchange.
     below = plan[plan.index("Exchange hashpartitioning(code") :]
     assert "WindowGroupLimit" in below and ", Partial" in below
+
+
+class Stored:
+    stocks, sectors = "plans.stocks", "plans.sectors"
+
+
+@pytest.fixture(scope="module")
+def functions(spark, stored):
+    overwrite_table(sector_summary(stored("stocks")), Stored.sectors, "trade_date", ["sector17_name"])
+    made = sqlfunctions.register_reports(spark, Stored, prefix="stored_")
+    assert made == [f"stored_{name}" for name in sqlfunctions.NAMES]
+    return stored
+
+
+def text_of(df):
+    return sorted(map(repr, df.collect()))
+
+
+CALLS = {
+    "return_ranking(20)": lambda t: reports.return_ranking(t("stocks")),
+    "return_ranking(top => 3, as_of => DATE '2001-10-30')": lambda t: reports.return_ranking(t("stocks"), 3, "2001-10-30"),
+    "top_turnover(2)": lambda t: reports.top_turnover(t("stocks"), 2),
+    "ma_deviation_movers(as_of => DATE '2001-10-30')": lambda t: reports.ma_deviation_movers(t("stocks"), as_of="2001-10-30"),
+    "gainers_losers(1, DATE '2001-10-30')": lambda t: reports.gainers_losers(t("stocks"), 1, "2001-10-30"),
+    "volatility_vs_return(1.0D, as_of => DATE '2001-10-30')": lambda t: reports.volatility_vs_return(t("stocks"), min_turnover=1.0, as_of="2001-10-30"),
+    "market_kpis()": lambda t: reports.market_kpis(t("stocks")),
+    "stock_series('1', DATE '2001-11-01', 10)": lambda t: reports.stock_series(t("stocks"), "1", "2001-11-01", 10),
+    "market_turnover(DATE '2001-11-01', 9)": lambda t: reports.market_turnover(t("stocks"), "2001-11-01", 9),
+    "curated_stocks(DATE '2001-11-01', 5)": lambda t: reports.curated_view(t("stocks"), "2001-11-01", 5),
+    "sector_latest()": lambda t: reports.sector_latest(t("sectors")),
+    "sector_recent()": lambda t: reports.sector_recent(t("sectors")),
+}
+
+
+@pytest.mark.parametrize("call", CALLS)
+def test_sql_functions_equal_their_reports(spark, functions, call):
+    got = spark.sql(f"SELECT * FROM stored_{call}")
+    want = CALLS[call](functions)
+    assert got.columns == want.columns
+    assert text_of(got) == text_of(want) != []
+
+
+def test_every_sql_function_is_compared():
+    assert {call.split("(")[0] for call in CALLS} == set(sqlfunctions.NAMES)
+
+
+def test_sql_functions_prune_and_limit(spark, functions):
+    plan = plan_of(spark.sql("SELECT * FROM stored_return_ranking(20)"))
+    data = [s for s in scans(plan) if "ReadSchema: struct<>" not in s]
+    assert data and all(re.search(r"PartitionFilters: \[[^\]]*trade_date#\d+ = (coalesce\([^\]]*)?Subquery", s) for s in data)
+    assert "TakeOrderedAndProject(limit=20" in plan or "WindowGroupLimit" in plan
+    (scan,) = [s for s in scans(plan_of(spark.sql("SELECT * FROM stored_stock_series('1', DATE '2001-11-01', 10)"))) if "code" in s]
+    assert "EqualTo(code,1)" in scan and "2001-10-22" in scan
+
+
+def test_sql_arguments_are_values(spark, functions):
+    assert spark.sql("SELECT * FROM stored_stock_series(:code)", args={"code": "1' OR '1'='1"}).isEmpty()
+    assert spark.sql("SELECT * FROM stored_return_ranking(0)").isEmpty()

@@ -1,6 +1,9 @@
 """Writes to catalog tables, and the landed-file scans."""
 
 import json
+import os
+import random
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -10,7 +13,8 @@ from quotewright.schemas import QUOTE_RECORD
 from quotewright.sinks import append_rows, compact, overwrite_table, replace_partitions, upsert
 from quotewright.sinks import tables as sink
 from quotewright.sources.catalog import TableNames, current_table, ensure_schemas, list_tables, table_exists
-from quotewright.sources.landing import listing_from_rows, read_records, split_records, with_audit
+from quotewright.sources import derived
+from quotewright.sources.landing import SOURCE_FILE, UNPARSED, listing_from_rows, read_array, read_records, split_records, with_audit
 
 SCHEMA = "day string, code string, v double, at int"
 
@@ -137,6 +141,66 @@ def test_compaction_merges_and_sorts_files(spark, table):
     assert codes == sorted(codes) and len(codes) == 20
 
 
+def jobs_of(spark, group, action):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = action()
+    finally:
+        spark.sparkContext.setJobGroup("other", "other")
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_row_counts_come_from_the_write_itself(spark, table):
+    rows = frame(spark, *[(f"d{d}", f"c{c}", 1.0) for d in range(3) for c in range(20)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # Without adaptive planning a write is one job, whatever it counts.
+        (count, jobs) = jobs_of(spark, f"{table}-overwrite", lambda: overwrite_table(rows, table, "day", ["code"]))
+        assert (count, jobs) == (60, 1)
+        part = current_table(spark, table).filter("day = 'd1'").limit(7)
+        (count, jobs) = jobs_of(spark, f"{table}-replace", lambda: replace_partitions(part, table, "day", ["code"]))
+        # Staged, then published.
+        assert (count, jobs) == (7, 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert overwrite_table(rows.limit(0), f"{table}_empty", "day") == 0
+
+
+def modified(spark, table):
+    paths = current_table(spark, table).select("_metadata.file_path", "_metadata.file_modification_time").distinct().collect()
+    return {r[0]: r[1] for r in paths}
+
+
+def test_compaction_chooses_days_by_their_files(spark, table):
+    def rows(day, n):
+        return frame(spark, *[(day, f"c{c:03}", float(c)) for c in range(n)])
+
+    # d1 in many small files, d2 in one, d3 in two large enough ones.
+    rows("d1", 40).repartition(6, "code").unionByName(rows("d2", 40).coalesce(1)).write.partitionBy("day").format("parquet").saveAsTable(table)
+    for _ in range(2):
+        rows("d3", 900).coalesce(1).write.mode("append").partitionBy("day").format("parquet").saveAsTable(table)
+    small = min(sum(r.bytes for r in sink.file_sizes(spark, table, "day").filter("partition = 'd3'").collect()) // 2, 10_000)
+    before, contents = modified(spark, table), rows_of(spark, table)
+    assert [r.partition for r in sink.scattered(spark, table, "day", small).collect()] == ["d1"]
+    assert compact(spark, table, "day", ["code"], small_bytes=small) == ("d1",)
+    after = modified(spark, table)
+    kept = {path for path in before if "day=d1" not in path}
+    assert {path: after[path] for path in kept} == {path: before[path] for path in kept}
+    assert len([path for path in after if "day=d1" in path]) == 1 and rows_of(spark, table) == contents
+    # Now there is nothing to do, and nothing is written.
+    assert compact(spark, table, "day", ["code"], small_bytes=small) == ()
+    assert modified(spark, table) == after
+
+
+def test_compaction_of_dates_and_of_tables_without_partitions(spark, table):
+    days = spark.createDataFrame([(date(2024, 1, 1 + i % 2), i) for i in range(40)], "day date, v int")
+    days.repartition(4, "v").write.partitionBy("day").format("parquet").saveAsTable(table)
+    assert compact(spark, table, "day", since="2024-01-02") == (date(2024, 1, 2),)
+    days.repartition(4, "v").write.format("parquet").saveAsTable(f"{table}_flat")
+    assert compact(spark, f"{table}_flat", None, ["v"]) == (None,)
+    assert [r.v for r in current_table(spark, f"{table}_flat").collect()] == list(range(40))
+
+
 def test_catalog_lookups(spark, table):
     assert not table_exists(spark, table) and not table_exists(spark, "no_schema.t")
     put(spark, table, ("d1", "a", 1.0))
@@ -182,3 +246,76 @@ def test_every_record_is_accepted_or_rejected(spark, folder):
 
 def test_listing_rows_may_lack_fields(spark):
     assert listing_from_rows(spark, [{"Code": "1"}]).first().CompanyName is None
+
+
+# -- array files, split over tasks ------------------------------------------------
+
+
+def small_blocks(spark, size):
+    """Scans with blocks of so many bytes; gives the setting back."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    return lambda: spark.conf.set(name, before)
+
+
+TRICKY = ['a "quoted" }', "},{", '},{"Code":"9"}', "]}", "}]", "\\", "}" * 40, "[{", "new\nline }, {", "é 漢 }", ""]
+
+
+def tricky_rows(seed, n):
+    r = random.Random(seed)
+    return [
+        {"Date": "2024-01-05", "Code": f"{i} {r.choice(TRICKY)}", "Close": i / 4, **({"Open": 1.5} if r.random() < 0.5 else {}), "Extra": r.choice(TRICKY)}
+        for i in range(n)
+    ]
+
+
+def by_file(df):
+    order = [c for c in df.columns if c != UNPARSED]
+    return sorted(map(repr, df.select(order).collect()))
+
+
+@pytest.mark.parametrize("indent, block", [(None, 150), (2, 150), (None, 10_000_000), (2, 37)])
+def test_split_arrays_equal_the_multi_line_read(spark, folder, indent, block):
+    for i, n in enumerate((200, 1, 0)):
+        (Path(folder) / f"q{i}.json").write_text(json.dumps(tricky_rows(i, n), indent=indent, ensure_ascii=i == 0) + "\n" * i)
+    restore = small_blocks(spark, block)
+    try:
+        split = read_array(spark, folder)
+        assert split.columns == read_records(spark, folder, layout="array").columns
+        assert by_file(split) == by_file(read_records(spark, folder, layout="array"))
+        assert split.filter(F.col(UNPARSED).isNotNull()).count() == 0
+        if block < 1000:
+            texts = spark.read.option("lineSep", "}").text(f"{folder}/q0.json")
+            assert texts.rdd.getNumPartitions() > 20  # one file, many tasks
+    finally:
+        restore()
+
+
+def test_a_malformed_record_costs_only_itself(spark, folder):
+    good = [json.dumps(r) for r in tricky_rows(3, 30)]
+    broken = [*good[:10], '{"Date": "2024-01-05", "Code": }', *good[10:20], '{"Date": "2024-01-05" "Code": "x"}', *good[20:]]
+    (Path(folder) / "q.json").write_text("[" + ", ".join(broken) + "]")
+    (Path(folder) / "cut.json").write_text("[" + good[0] + ',{"Date": "2024-01-')
+    restore = small_blocks(spark, 200)
+    try:
+        accepted, rejected = split_records(with_audit(read_array(spark, folder)))
+        assert accepted.count() == 31
+        assert sorted(r.record for r in rejected.collect()) == sorted([broken[10], broken[21], '{"Date": "2024-01-'])
+        assert {r.reason for r in rejected.collect()} == {"malformed record"}
+        assert {os.path.basename(r[SOURCE_FILE]) for r in rejected.collect()} == {"q.json", "cut.json"}
+    finally:
+        restore()
+
+
+def test_split_arrays_of_empty_files(spark, folder):
+    for name, text in (("a", ""), ("b", "[]"), ("c", " [ ] \n"), ("d", '[{"Date": "2024-01-05", "Code": "1"}]')):
+        (Path(folder) / f"{name}.json").write_text(text)
+    assert [r.Code for r in read_array(spark, folder).collect()] == ["1"]
+
+
+def test_landed_months_read_back(spark, folder):
+    records = derived.quote_records(spark, "/root/testdata/sf0.001").filter("Date >= '2001-09-20'")
+    derived.land_arrays(records, f"{folder}/landed")
+    got = read_array(spark, f"{folder}/landed").select(*QUOTE_RECORD.names)
+    assert got.exceptAll(records).isEmpty() and records.exceptAll(got).isEmpty()
