@@ -306,7 +306,7 @@ def _day_report(report: Callable[..., DataFrame], round_metrics: bool = False, d
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         quotes = _silver(spark, sf_dir)
         last = options.get("as_of") or newest_day(quotes)
-        stocks = attach_master(metrics_of_days(quotes, last, days), _listing(spark, sf_dir))
+        stocks = attach_master(metrics_of_days(quotes, options.get("as_of"), days), _listing(spark, sf_dir))
         result = report(sector_summary(stocks) if by_sector else stocks, **{**options, "as_of": last})
         return _rounded(result) if round_metrics else result
 

@@ -44,7 +44,7 @@ def metrics_of_days(
         .filter(F.col("_age") <= windows.rows_needed + days + 1)
         .drop("_age")
     )
-    return stock_metrics(tail, windows).filter((F.col("trade_date") >= first) & (F.col("trade_date") <= last))
+    return stock_metrics(tail, windows).filter(F.col("trade_date") >= first)
 
 
 def metrics_between(
