@@ -20,12 +20,14 @@ tasks by broadcast.
 Null and empty texts have all features 0 and get a score like others. Labels
 that are null or of unknown rows are ignored; a row labelled twice counts
 twice. Without toxic or without clean labelled rows every score is 0. Extra
-columns are ignored. Repeated rows get equal scores.
+columns are ignored, whatever their names. Repeated rows get equal scores, rows without
+doc_id are scored too. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -66,6 +68,12 @@ def _entries(words: set[str]) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in _STEMS if len(w) > n}
 
 
+def _beside(i: int, places: list[int]) -> bool:
+    """Whether one of the sorted places is within NEAR of i."""
+    at = bisect_left(places, i - NEAR)
+    return at < len(places) and places[at] <= i + NEAR
+
+
 def features(text: str, lexicon: dict[str, float]) -> list[float]:
     lower = text.lower()
     words = _WORD.findall(lower)
@@ -78,7 +86,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
             if w[:size] in stems and i not in hits:
                 hits[i] = stems[w[:size]]
     second = [i for i, w in enumerate(words) if w in _SECOND] if hits else []
-    near = sum(any(abs(i - j) <= NEAR for j in second) for i in hits)
+    near = sum(_beside(i, second) for i in hits)
     masked = _MASKED.findall(lower)
     undone = [re.sub(r"[^\w]|[\d_]", "", m.translate(_SIGNS)) for m in masked]
     masked_hits = sum(m in lexicon or re.sub(r"[^\w]|[\d_]", "", raw) in lexicon for raw, m in zip(masked, undone))
@@ -104,7 +112,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, text, toxic`` of at most FIT_ROWS labelled rows that are not held out; the same on every run."""
     known = labels.filter(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = known.filter(~held_out("_id")).orderBy(F.xxhash64(F.lit(SEED + 1), "_id"), "_id", "toxic").limit(FIT_ROWS)
-    return docs.join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
+    return docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
 
 
 def learn_lexicon(rows: DataFrame) -> dict:
