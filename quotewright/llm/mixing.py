@@ -135,6 +135,7 @@ def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (3, 1, 2), sh
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; all columns stay."""
     plan = mix(docs, **options).filter("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_of"), F.col("copies").alias("_copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_of"))
-    repeated = docs.join(plan, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    # The row travels as one value, so that its columns may have any name.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & F.col("_row.source").eqNullSafe(F.col("_of"))
+    return rows.join(plan, same).select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")
