@@ -135,14 +135,19 @@ def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES, long_words: int
 
 
 def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
-    """All columns of ``docs`` with ``text`` cleaned, plus ``n_lines`` (not blank) and ``deleted`` (line numbers)."""
+    """All columns of ``docs`` with ``text`` cleaned, plus ``n_lines`` (not blank) and ``deleted`` (line numbers).
+
+    Columns of ``docs`` with these two names are replaced.
+    """
     lines = written(line_ids(docs), "lines")
     gone = repeated_runs(lines, min_lines, long_words).groupBy(F.col("doc_id").alias("_id")).agg(
         F.sort_array(F.flatten(F.collect_list("deleted"))).alias("deleted"), F.sum("lines").alias("n")
     )
     sizes = lines.groupBy(F.col("doc_id").alias("_of")).agg(F.countDistinct("place").alias("n_lines"))
     counts = sizes.join(gone, F.col("_of") == F.col("_id"), "left").drop("_id", "n")
-    joined = docs.join(counts, F.col("doc_id") == F.col("_of"), "left").drop("_of")
+    # The row travels as one value, so that its columns may have any name.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    joined = rows.join(counts, F.col("_row.doc_id") == F.col("_of"), "left").withColumn("text", F.col("_row.text"))
 
     @F.pandas_udf("string")
     def without(texts, deleted):
@@ -158,7 +163,7 @@ def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int |
         without(F.coalesce("text", F.lit("")), F.coalesce("deleted", F.array().cast("array<long>")))
     )
     return joined.select(
-        *[cleaned.alias("text") if c == "text" else joined[c] for c in docs.columns],
+        *[cleaned.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns if c not in ("n_lines", "deleted")],
         F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce("deleted", F.array().cast("array<long>")).alias("deleted"),
     )
