@@ -19,8 +19,10 @@ is and with each of its bits turned, and again no pair is missed. Texts with cos
 0.97 differ in 10 of 128 bits on average, with 0.95 in 13.
 
 Null and empty texts (and those of white space alone) have no votes and the
-all-zero fingerprint. Texts are taken whole. Repeated rows get equal results;
-rows that share a ``doc_id`` must be equal. Extra columns are ignored.
+all-zero fingerprint. Texts are taken whole. Repeated rows get equal results, one each;
+of rows that share a ``doc_id`` but differ the greatest text counts. Rows without ``doc_id`` have
+no place in the order of the documents and are left out. Extra columns are ignored. An empty table
+gives an empty result, a single document is followed by itself.
 """
 
 from __future__ import annotations
@@ -156,8 +158,15 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     Likeness is one minus the share of differing bits.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = written(followers(texts.select("doc_id", F.length("text").cast("long").alias("n_chars"))), "followers")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).filter("doc_id is not null")
+    ids = given.groupBy("doc_id").agg(F.max(F.length("text")).cast("long").alias("n_chars"), F.count(F.lit(1)).alias("rows"))
+    counted = written(ids, "ids")
+    order = written(followers(counted.select("doc_id", "n_chars")), "followers")
+    # Texts meet their neighbours by id in any case; only rows that share one are reduced first.
+    several = counted.filter("rows > 1").select("doc_id", "rows")
+    texts = given.join(several, "doc_id", "left_anti").unionByName(
+        given.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
+    )
     wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), F.floor(F.col("n_chars") / 4).alias("n"))
     lent = texts.join(wanted, "doc_id").select(
         F.col("for_id").alias("doc_id"), F.substr("text", F.lit(1), F.col("n").cast("int")).alias("lent"), F.col("n")
@@ -180,7 +189,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     own = prints.filter("kind = 0").select("doc_id", "f0", "f1")
     edited = prints.filter("kind = 1").select("doc_id", F.col("sha").alias("edited_sha256"), F.col("f0").alias("e0"), F.col("f1").alias("e1"))
     after = own.select(F.col("doc_id").alias("next_id"), F.col("f0").alias("n0"), F.col("f1").alias("n1"))
-    rows = order.join(own, "doc_id").join(edited, "doc_id").join(after, "next_id")
+    rows = order.join(own, "doc_id").join(edited, "doc_id").join(after, "next_id").join(several, "doc_id", "left")
+    rows = rows.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("rows", F.lit(1).cast("long")))))
 
     def likeness(a: str, b: str) -> Column:
         return 1 - distance(halves, [F.col(a), F.col(b)]) / F.lit(float(BITS))
