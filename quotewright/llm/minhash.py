@@ -26,8 +26,8 @@ joins them.
 
 Null and empty texts, and texts without words, have the empty set and are
 linked with nothing. Rows that share a ``doc_id`` must be equal; repeated ones
-give repeated results. A null ``doc_id`` is not supported by the contract and
-is left out. Extra columns are ignored.
+give repeated results. Rows without ``doc_id`` are left out. Extra columns are ignored. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -153,7 +153,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     ``links`` counts the confirmed links that joined its class to others.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     described = written(
         texts.mapInArrow(_describe, "doc_id long, n long, s1 long, s2 long, bands array<long>"), "signatures"
     )
