@@ -19,8 +19,8 @@ SOURCE_FILE = "_source_file"
 def _options(layout: str) -> dict[str, str]:
     """Reader options for ``lines`` (one record per line) or ``array`` files.
 
-    With ``array`` a file is read by a single task, as streams have to; ``read_array``
-    splits large ones over tasks. JSON Lines files always split.
+    With ``array`` a file is read by a single task; ``read_array`` and the ingest
+    split large ones over tasks. JSON Lines files always split.
     """
     if layout not in ("lines", "array"):
         raise ValueError(f"unknown layout {layout!r}: use 'lines' or 'array'")
@@ -53,11 +53,31 @@ def _joined_pieces(pieces: str) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(pieces)), lambda p: p["value"]), "}")
 
 
+def _pieces(texts: DataFrame) -> DataFrame:
+    return texts.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+
+
 def read_array(spark: SparkSession, path: str, record: T.StructType = QUOTE_RECORD) -> DataFrame:
     """Scan files that hold one JSON array each, every file by as many tasks as it has blocks.
 
     Same columns as ``read_records``. The files are read as text that is parted by closing braces,
-    which splits at any byte. A piece that begins with a key opens a record; others,
+    which splits at any byte.
+    """
+    return records_of_pieces(_pieces(spark.read.option("lineSep", "}").text(path)), record)
+
+
+def stream_pieces(spark: SparkSession, path: str, max_files_per_batch: int | None = None) -> DataFrame:
+    """The pieces of array files as they arrive; a batch of them goes to ``records_of_pieces``."""
+    reader = spark.readStream.option("lineSep", "}").option("maxFileAge", "36500d")
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    return _pieces(reader.text(path))
+
+
+def records_of_pieces(pieces: DataFrame, record: T.StructType = QUOTE_RECORD) -> DataFrame:
+    """Records of array files from their pieces ``file, block, value``, in the order in which tasks read them.
+
+    A piece that begins with a key opens a record; others,
     cut off by a brace inside a string or a nested object, go on with the record before them. Pieces
     are put together within their block, and only the first and last record of each block
     with those of the neighbouring blocks.
@@ -66,8 +86,7 @@ def read_array(spark: SparkSession, path: str, record: T.StructType = QUOTE_RECO
     that does not parse is one malformed record; the others of its file are kept, while the
     multi-line reader gives up the whole file. What stands between records is dropped.
     """
-    file, block = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    pieces = spark.read.option("lineSep", "}").text(path).select(file, block, F.monotonically_increasing_id().alias("place"), "value")
+    pieces = pieces.withColumn("place", F.monotonically_increasing_id())
     of_block = Window.partitionBy("file", "block").orderBy("place")
     begun = F.last(F.when(F.col("value").rlike(_RECORD_BEGINS), F.col("place")), ignorenulls=True).over(rows_so_far(of_block))
     records = pieces.withColumn("begun", begun).groupBy("file", "block", "begun").agg(

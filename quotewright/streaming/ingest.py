@@ -13,7 +13,7 @@ from quotewright.operators import latest_per_key, quotes_to_silver
 from quotewright.schemas import QUOTE_KEY, QUOTE_RECORD, SILVER_KEY
 from quotewright.sinks import append_rows, upsert
 from quotewright.sources.catalog import TableNames, ensure_schemas, table_exists
-from quotewright.sources.landing import split_records, stream_records, with_audit
+from quotewright.sources.landing import records_of_pieces, split_records, stream_pieces, stream_records, with_audit
 
 NEWEST_BY = ("_ingestion_date", "_loaded_at", "_source_file")
 QUOTE_CHANGE, WITHDRAWN, LISTING_CHANGE = "quote", "withdrawn", "listing"
@@ -93,11 +93,18 @@ def ingest_available(
     ensure_schemas(spark, names)
     loaded = Loaded()
 
+    # Array files arrive as pieces, so that each is read by many tasks, and are put together batch by batch.
+    in_pieces = layout == "array"
+
     def load(batch: DataFrame, _batch_id: int) -> None:
         nonlocal loaded
-        loaded += load_quotes(batch, names, ingestion_date)
+        records = records_of_pieces(batch, QUOTE_RECORD) if in_pieces else batch
+        loaded += load_quotes(records, names, ingestion_date)
 
-    stream = stream_records(spark, landing_path, QUOTE_RECORD, layout, max_files_per_batch)
+    if in_pieces:
+        stream = stream_pieces(spark, landing_path, max_files_per_batch)
+    else:
+        stream = stream_records(spark, landing_path, QUOTE_RECORD, layout, max_files_per_batch)
     query = (
         stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
