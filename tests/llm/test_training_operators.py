@@ -6,6 +6,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -222,6 +224,70 @@ def test_cartesian_nodes_match_their_definition():
         assert sorted(s for l, r in zip(left, right) for s in range(l, r - span + 2)) == list(range(n - span + 1))
 
 
+def _sets(words, span, width=5):
+    shingles = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+    return [set(shingles[i : i + span]) for i in range(len(shingles) - span + 1)]
+
+
+def test_passages_cover_every_near_window_of_a_brute_force_search(documents):
+    rng = random.Random(5)
+    line, pool = [f"line{i}" for i in range(30)], [[f"p{k}_{i}" for i in range(80)] for k in range(3)]
+    texts = {}
+    for doc in range(1, 13):
+        words = [f"own{doc}_{i}" for i in range(rng.randrange(5, 70))] + line
+        for k in rng.sample(range(3), rng.randrange(3)):
+            part = list(pool[k])[rng.randrange(10) : 80 - rng.randrange(10)]
+            if rng.random() < 0.6:
+                at = rng.randrange(5, len(part) - 5)
+                part[at : at + rng.randrange(2)] = [f"edit{doc}"]
+            words += part + [f"gap{doc}_{k}_{i}" for i in range(rng.randrange(30))] + line
+        texts[doc] = words
+    found = passages.repeated_passages(documents([(d, " ".join(w)) for d, w in texts.items()])).collect()
+    span, near = passages._SPAN, 0
+    windows = {d: _sets(w, span) for d, w in texts.items()}
+    for doc in texts:
+        for i, own in enumerate(windows[doc]):
+            if any(4 * len(own & other) >= 3 * len(own | other) for d in texts if d < doc for other in windows[d]):
+                near += 1
+                middle = i + 25
+                assert any(x.doc_id == doc and x.start_word <= middle < x.end_word for x in found), (doc, i)
+    assert near > 100
+    for x in found:
+        assert x.source_doc_id < x.doc_id and x.end_word - x.start_word >= passages.MIN_WORDS
+        mine = _sets(texts[x.doc_id][x.start_word : x.end_word], x.end_word - x.start_word - 4)[0]
+        n, there = len(mine), texts[x.source_doc_id][x.source_start :]
+        ranges = (_sets(there[:k], k - 4)[0] for k in range(5, len(there) + 1) if 3 * n <= 4 * (k - 4) and 3 * (k - 4) <= 4 * n)
+        assert any(4 * len(mine & other) >= 3 * len(mine | other) for other in ranges), x
+
+
+def test_texts_that_share_a_line_and_nothing_else_have_no_windows():
+    line = " ".join(f"line{i}" for i in range(30))
+    texts = [" ".join(f"a{d}_{i}" for i in range(60)) + " " + line + " " + " ".join(f"b{d}_{i}" for i in range(60)) for d in range(20)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(20)), "text": texts})
+    for parts in (1, 3):
+        sent = pa.Table.from_batches(passages._sent(parts)([batch])).combine_chunks()
+        marks = [[] for _ in texts]
+        for part in range(parts):
+            for row in passages._repeated_bits(sent.filter(pc.equal(sent["part"], part))).to_pylist():
+                marks[row["doc_id"]].append({"part": row["part"], "bits": row["bits"]})
+        tokens = passages._tokens([t.encode() for t in texts])
+        again = passages._repeated(np.concatenate(tokens), np.array([len(t) for t in tokens]), marks, parts)
+        # Exactly the shingles within the line occur in other texts.
+        assert again.reshape(20, -1).sum(axis=1).tolist() == [26] * 20
+        assert again.reshape(20, -1)[:, 60:86].all()
+        asked = pa.RecordBatch.from_pydict({"doc_id": list(range(20)), "text": texts, "marks": marks})
+        assert list(passages._windows(parts)([asked])) == []
+
+
+def test_windows_of_one_word_said_often_are_taken_together():
+    tokens = passages._tokens([" ".join(["again"] * 200).encode()])[0]
+    low, at, high = passages.compact_windows(tokens, passages._SPAN, 1)
+    assert len(at) == 200 - passages.MIN_WORDS + 1
+    left, anchor, right = passages._merged(tokens, low, at, high)
+    assert anchor.tolist() == list(range(0, 151, passages._SPAN // 2))
+    assert left.tolist() == anchor.tolist() and right.max() == high.max()
+
+
 def test_passages_are_found_whole_and_clean_texts_left_alone(documents):
     shared, changed = prose("p", 80), prose("p", 80).split()
     changed[70] = "other"
