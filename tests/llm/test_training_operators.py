@@ -90,6 +90,56 @@ def test_nearest_neighbours_reach_recall_and_measure_exactly(spark):
     assert hit >= 0.9 * 300
 
 
+def test_a_query_meets_a_smaller_share_of_a_larger_table():
+    shares = []
+    for n in (1_000, 16_000):
+        x = np.random.default_rng(7).normal(size=(n, 32))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        axes = annsearch.axes_of(n, 32)
+        most = int(np.ceil(annsearch.PROBES * n**annsearch.GROWTH))
+        held = annsearch.cells(x, axes, annsearch.TABLES)
+        table, cell = annsearch.probed(x[:60], axes, annsearch.TABLES, most)
+        hit = met = 0
+        for i in range(60):
+            assert len(set(zip(table[i], cell[i]))) == len(cell[i]) == most
+            assert set(enumerate(held[i])) <= set(zip(table[i], cell[i]))  # its own cells are the nearest
+            found = np.zeros(n, bool)
+            for t in range(annsearch.TABLES):
+                found |= np.isin(held[:, t], cell[i, table[i] == t])
+            near = np.argsort(-(x @ x[i]))[1:21]
+            hit, met = hit + found[near].sum(), met + found.mean()
+        assert hit >= 0.9 * 60 * 20
+        shares.append(met / 60)
+    assert shares[1] < 0.6 * shares[0]
+
+
+def test_a_vector_that_many_rows_share(spark):
+    """Equal vectors tie, so the smallest ids come first, whatever the number of copies; ids may repeat."""
+    r = np.random.default_rng(3)
+    v = r.integers(-3, 4, (120, 4)).astype(float)
+    v[r.random(120) < 0.5] = [1.0, 2.0, 2.0, 0.0]
+    v[~v.any(axis=1)] = 1.0
+    ids = [int(i) for i in r.permutation(120)]
+    ids[5] = ids[4]
+    table = spark.createDataFrame([(i, x.tolist(), "clash", 1) for i, x in zip(ids, v)], "vec_id long, embedding array<double>, class string, cell int")
+    wanted = []
+    for q in sorted(set(ids)):
+        if q % 5 == 0:
+            scored = {(-float(a @ b), j) for i, a in zip(ids, v) if i == q for j, b in zip(ids, v) if j != q}
+            wanted += [(q, n, j, -s) for n, (s, j) in enumerate(sorted(scored)[:7], 1)]
+    got = [tuple(x) for x in annsearch.search(table, F.col("vec_id") % 5 == 0, k=7, probes=10_000).orderBy("query_id", "rank").collect()]
+    assert got == wanted
+
+
+def test_blocks_of_a_part_add_up_to_it(spark, monkeypatch):
+    v = np.random.default_rng(4).normal(size=(5000, 3))
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    whole = annsearch.search(table, F.col("vec_id") % 3 == 0, k=3).collect()
+    monkeypatch.setattr(annsearch, "PART_BYTES", 0)  # 1,024 vectors a part
+    monkeypatch.setattr(annsearch, "TOGETHER", 500)
+    assert set(annsearch.search(table, F.col("vec_id") % 3 == 0, k=3).collect()) == set(whole)
+
+
 def test_nearest_neighbours_of_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.6, 0.8]), (2, None)], schema)
