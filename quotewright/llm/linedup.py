@@ -12,9 +12,8 @@ in common. Its first suffix in corpus order (doc_id, then line) is the
 original, the others are later copies. Runs of MIN_LINES or more that began
 earlier in the corpus are deleted: the windows of all later copies, merged,
 are the maximal repeated runs. The longest interval at the head of a run names
-the place it was copied from. With ``long_words``, as the pipeline has it, a
-repeated line of so many words is a run by itself (round 0 has its copies);
-``line_digests`` goes by its SQL, which deletes runs of MIN_LINES only.
+the place it was copied from. With ``long_words``, as the query and the pipeline have it, a
+repeated line of so many words is a run by itself (round 0 has its copies).
 
 Blank lines carry no id, are never deleted, and do not part a run. Null and
 empty texts have no lines. A document's own repeats count like those of
@@ -37,7 +36,7 @@ from quotewright.llm.scratch import written
 
 #: Shortest run that is deleted; a power of two, so that a round ends there.
 MIN_LINES = 2
-#: Words of a line that is long enough to be deleted by itself, where a caller asks for it.
+#: Words of a line that is long enough to be deleted by itself; words are as everywhere, parted by ASCII white space.
 LONG_LINE = 50
 
 
@@ -171,7 +170,7 @@ def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int |
 
 def line_digests(docs: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_deleted, deleted, text_sha256`` of the cleaned texts."""
-    done = deduplicated(docs.select("doc_id", "text"))
+    done = deduplicated(docs.select("doc_id", "text"), long_words=LONG_LINE)
     return done.select(
         "doc_id", "n_lines", F.size("deleted").cast("long").alias("n_deleted"),
         F.array_join(F.col("deleted").cast("array<string>"), ",").alias("deleted"),
@@ -179,8 +178,8 @@ def line_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-#: The same result in SQL: a window of two lines is deleted if an equal one began earlier.
-ORACLE_SQL = r"""
+#: The same result in SQL: a window of two lines, or a line of LONG_LINE words, is deleted if an equal one began earlier.
+ORACLE_SQL = rf"""
 WITH raw AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i
   FROM documents),
@@ -189,11 +188,13 @@ solid AS (
 pairs AS (
   SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY place) AS next_line FROM solid),
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, place) AS copy FROM pairs),
+  SELECT *, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, place) AS copy,
+    row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS line_copy FROM pairs),
 marked AS (
-  SELECT *, (next_line IS NOT NULL AND copy > 1) AS head FROM numbered),
+  SELECT *, (next_line IS NOT NULL AND copy > 1) AS head,
+    (line_copy > 1 AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= {LONG_LINE}) AS long FROM numbered),
 gone AS (
-  SELECT doc_id, i, head OR coalesce(lag(head) OVER (PARTITION BY doc_id ORDER BY place), false) AS gone FROM marked)
+  SELECT doc_id, i, long OR head OR coalesce(lag(head) OVER (PARTITION BY doc_id ORDER BY place), false) AS gone FROM marked)
 SELECT raw.doc_id, count(gone.i) AS n_lines, count(*) FILTER (WHERE gone.gone) AS n_deleted,
   coalesce(string_agg(CAST(raw.i AS VARCHAR), ',' ORDER BY raw.i) FILTER (WHERE gone.gone), '') AS deleted,
   sha256(coalesce(string_agg(raw.line, chr(10) ORDER BY raw.i) FILTER (WHERE NOT coalesce(gone.gone, false)), '')) AS text_sha256

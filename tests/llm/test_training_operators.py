@@ -578,6 +578,13 @@ def test_a_run_names_the_place_it_was_copied_from(documents):
     assert got == [(2, 0, 2, [0, 1], 1, 1), (3, 1, 4, [1, 2, 3, 4], 1, 1)]
 
 
+def test_the_query_deletes_single_long_lines(documents):
+    long, short = prose("long", 50), prose("short", 49)
+    rows = [(1, f"a\n{long}\nb\n{short}"), (2, f"c\n{long}\n\nd\n{short}\ne"), (3, long), (4, f"{long}\nf\n{long}")]
+    got = {x.doc_id: (x.n_lines, x.n_deleted, x.deleted) for x in linedup.line_digests(documents(rows)).collect()}
+    assert got == {1: (4, 0, ""), 2: (5, 1, "1"), 3: (1, 1, "0"), 4: (3, 2, "0,2")}
+
+
 def test_the_pipeline_deletes_single_long_lines(spark, documents):
     long, short = prose("long", 50), prose("short", 49)
     rows = [(1, f"a\n{long}\nb\n{short}"), (2, f"c\n{long}\n\nd\n{short}\ne"), (3, long), (4, f"{long}\nf")]
