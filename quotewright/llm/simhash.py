@@ -9,13 +9,11 @@ positive. A term weighs 1 to 3 by its length, for short ones are the common ones
 Votes are counted four bits to a 64-bit sum, 16 binary places each, over
 stretches of STRETCH terms whose counts cannot overflow a place.
 
-``within_radius`` cuts a fingerprint into blocks. Two fingerprints that differ
-in at most ``radius`` bits agree in at least ``blocks - radius`` blocks, so
-with one table for each choice of that many blocks every such pair meets in
-some table; no pair is missed. That needs few tables for a small radius only.
-``near_members`` therefore cuts into eight blocks of 16 bits: of at most NEAR = 15
-differing bits, one block has at most one, so the queries probe each block as it
-is and with each of its bits turned, and again no pair is missed. Texts with cosine
+``near_members`` keeps one table for each of a number of blocks that fingerprints are cut into, keyed by that block. Of
+``radius`` differing bits at most, some block has no more than ``radius // blocks``, so the queries probe each
+block as it is and with up to that many of its bits turned, and no pair is missed. Few wide blocks take
+more probes, many narrow ones meet more fingerprints a probe: ``blocks_for`` weighs both, so that with more
+fingerprints the keys grow from 16 to 32 bits. Texts with cosine
 0.97 differ in 10 of 128 bits on average, with 0.95 in 13.
 
 Null and empty texts (and those of white space alone) have no votes and the
@@ -28,6 +26,7 @@ gives an empty result, a single document is followed by itself.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,9 +36,10 @@ from quotewright.llm.scratch import written
 BITS = 128
 #: Terms counted before the places are unpacked; times the largest weight, 3, it stays under 2**16.
 STRETCH = 20_000
-#: Differing bits up to which texts count as near; less than twice the number of PROBED blocks.
+#: Differing bits up to which texts count as near.
 NEAR = 15
-PROBED = 8
+#: Numbers of blocks to choose from; half of them in each half of the fingerprint.
+CUTS = (16, 8, 6, 4)
 _PLACES = 0x0001000100010001
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -102,37 +102,39 @@ def distance(a: list[Column], b: list[Column]) -> Column:
     return total
 
 
-def _block(fingerprint: list[Column], blocks: int, k: int) -> Column:
-    """Block k as a number; ``blocks`` must divide 128 into blocks that lie within one half."""
-    width = BITS // blocks
-    half, at = divmod(k * width, 64)
-    return F.shiftrightunsigned(fingerprint[half], at).bitwiseAND(F.lit((1 << width) - 1))
+def _widths(blocks: int) -> list[int]:
+    """Bits of each block of one half; they differ by one at most."""
+    return [(64 * (k + 1)) // (blocks // 2) - (64 * k) // (blocks // 2) for k in range(blocks // 2)]
 
 
-def _tables(rows: DataFrame, radius: int, blocks: int) -> DataFrame:
-    """A row for each permuted table: its number and the key made of the chosen blocks."""
-    halves = [F.col("f0"), F.col("f1")]
-    keys = [
-        F.xxhash64(F.lit(t), *[_block(halves, blocks, k) for k in chosen])
-        for t, chosen in enumerate(combinations(range(blocks), blocks - radius))
-    ]
-    return rows.withColumn("key", F.explode(F.array(*keys)))
+def blocks_for(fingerprints: int, radius: int) -> int:
+    """The number of blocks with the fewest probes and fingerprints met for a query, at so many fingerprints."""
 
+    def cost(blocks: int) -> float:
+        turned = [(sum(comb(w, n) for n in range(radius // blocks + 1)), w) for w in _widths(blocks)]
+        return 2 * sum(probes * (1 + fingerprints / 2**width) for probes, width in turned)
 
-def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
-    """``q0, q1, f0, f1, distance``: all fingerprints of ``prints`` near each of ``queries``, without itself.
+    return min((b for b in CUTS if radius // b <= 3), key=cost)
 
-    Both take ``f0, f1`` and are made distinct first, so copies of a text
-    count once however many there are. Two texts with equal fingerprints are
-    one fingerprint here.
-    """
-    if blocks < 2 or BITS % blocks or 64 % (BITS // blocks) or not 0 < radius < blocks:
-        raise ValueError("blocks must cut each half evenly and outnumber the radius")
-    known = _tables(prints.select("f0", "f1").distinct(), radius, blocks)
-    asked = _tables(queries.select("f0", "f1").distinct(), radius, blocks).withColumnsRenamed({"f0": "q0", "f1": "q1"})
-    apart = distance([F.col("f0"), F.col("f1")], [F.col("q0"), F.col("q1")])
-    met = asked.join(known, "key").withColumn("distance", apart)
-    return met.filter(F.col("distance").between(1, radius)).select("q0", "q1", "f0", "f1", "distance").distinct()
+
+def _turned(key: Column, masks: Column) -> Column:
+    return F.transform(masks, lambda m: key.bitwiseXOR(m))
+
+
+def _keys(blocks: int, turned: int) -> Column:
+    """Keys of all blocks; also those with up to ``turned`` of a block's bits turned."""
+    out = []
+    for half in range(2):
+        at = 0
+        for k, width in enumerate(_widths(blocks)):
+            block = F.shiftrightunsigned(f"f{half}", at).bitwiseAND(F.lit((1 << width) - 1))
+            masks = [sum(1 << i for i in bits) for n in range(turned + 1) for bits in combinations(range(width), n)]
+            # The masks are one constant of the plan, not a thousand expressions.
+            several = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<long>")
+            table = F.lit((half * blocks // 2 + k) << 40)
+            out.append(_turned(block + table, several))
+            at += width
+    return F.explode(F.flatten(F.array(*out)))
 
 
 def followers(ids: DataFrame) -> DataFrame:
@@ -206,24 +208,16 @@ def hexadecimal(*halves: str) -> Column:
     return F.lower(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves]))
 
 
-def _probes(turned: bool) -> Column:
-    """Keys of the PROBED blocks; with ``turned`` also those with one bit turned."""
-    width, halves = BITS // PROBED, [F.col("f0"), F.col("f1")]
-    masks = [0, *(1 << n for n in range(width))] if turned else [0]
-    return F.explode(
-        F.array(*[_block(halves, PROBED, k).bitwiseXOR(F.lit(m)) + F.lit(k << width) for k in range(PROBED) for m in masks])
-    )
-
-
-def near_members(members: DataFrame, queries: DataFrame, radius: int = NEAR) -> DataFrame:
+def near_members(members: DataFrame, queries: DataFrame, radius: int = NEAR, blocks: int | None = None) -> DataFrame:
     """``q0, q1, representative, copies, distance``: all of ``members`` within the radius of each query, itself included.
 
-    ``members`` has a row ``f0, f1, representative, copies`` for each fingerprint.
+    ``members`` has a row ``f0, f1, representative, copies`` for each fingerprint. ``blocks`` changes the work, not the result.
     """
-    if not 0 <= radius < 2 * PROBED:
-        raise ValueError("the radius must be less than twice the number of blocks")
-    known = members.withColumn("key", _probes(False))
-    asked = queries.select("f0", "f1").distinct().withColumn("key", _probes(True)).withColumnsRenamed({"f0": "q0", "f1": "q1"})
+    blocks = blocks_for(members.count(), radius) if blocks is None else blocks
+    if radius < 0 or blocks < 4 or blocks % 2 or radius // blocks > 3:
+        raise ValueError("the radius must not be negative and less than four times the blocks, an even number of 4 or more")
+    known = members.withColumn("key", _keys(blocks, 0))
+    asked = queries.select("f0", "f1").distinct().withColumn("key", _keys(blocks, radius // blocks)).withColumnsRenamed({"f0": "q0", "f1": "q1"})
     apart = distance([F.col("f0"), F.col("f1")], [F.col("q0"), F.col("q1")])
     met = asked.join(known, "key").withColumn("distance", apart).filter(F.col("distance") <= radius)
     return met.select("q0", "q1", "representative", "copies", "distance").distinct()

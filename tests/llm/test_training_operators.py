@@ -207,15 +207,23 @@ def test_fingerprints_tell_edits_from_neighbours(documents):
     assert min(got[3 * i].near_edited for i in range(29)) > max(got[3 * i].near_next for i in range(29))
 
 
-def test_no_fingerprint_within_the_radius_is_missed(spark):
+@pytest.mark.parametrize("blocks, radius", [(16, 15), (8, 15), (6, 15), (4, 15), (4, 3), (6, 0)])
+def test_no_fingerprint_within_the_radius_is_missed(spark, blocks, radius):
     r = random.Random(4)
-    base = [r.getrandbits(128) for _ in range(40)]
-    points = {b ^ sum(1 << k for k in r.sample(range(128), n)) for b in base for n in (0, 1, 2, 3, 3, 4)}
+    base = [r.getrandbits(128) for _ in range(30)]
+    some = (0, 1, 2, 3, 3, 4, 12, 14, 15, 15, 15, 16)
+    points = sorted({b ^ sum(1 << k for k in r.sample(range(128), n)) for b in base for n in some})
+    # Differing bits that fill some blocks as evenly as can be.
+    points += [base[0] ^ sum(1 << (k * 8) for k in range(15)), base[0] ^ sum(1 << (k * 32 + 7 * j) for k in range(4) for j in range(4 - (k == 3)))]
     halves = lambda x: tuple(int(np.int64(np.uint64(h))) for h in (x & (2**64 - 1), x >> 64))
-    table = spark.createDataFrame([halves(p) for p in points], "f0 long, f1 long")
+    table = spark.createDataFrame([(*halves(p), i, 1) for i, p in enumerate(points)], "f0 long, f1 long, representative long, copies long")
     asked = spark.createDataFrame([halves(b) for b in base], "f0 long, f1 long")
-    got = {(x.q0, x.q1, x.f0, x.f1) for x in simhash.within_radius(table, asked).collect()}
-    assert got == {halves(b) + halves(p) for b in base for p in points if 0 < bin(b ^ p).count("1") <= 3}
+    got = {(x.q0, x.q1, x.representative, x.distance) for x in simhash.near_members(table, asked, radius, blocks).collect()}
+    assert got == {(*halves(b), i, bin(b ^ p).count("1")) for b in base for i, p in enumerate(points) if bin(b ^ p).count("1") <= radius}
+
+
+def test_keys_grow_with_the_fingerprints():
+    assert [simhash.blocks_for(10**n, 15) for n in (2, 5, 7, 9)] == [16, 8, 6, 4]
 
 
 def test_near_documents_are_found_with_their_copies_and_ids(spark):
