@@ -28,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotewright.llm import wordhash
@@ -133,6 +133,21 @@ def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES, long_words: int
     )
 
 
+def _without(text: Column, deleted: Column) -> Column:
+    """The text without the lines of these numbers, which ascend: the lines between each two of them, joined."""
+
+    def kept(lines: Column) -> Column:
+        def between(i: Column) -> Column:
+            begin = F.when(i == 0, F.lit(0)).otherwise(F.get(deleted, i - 1).cast("int") + 1)
+            end = F.when(i == F.size(deleted), F.size(lines)).otherwise(F.get(deleted, i).cast("int"))
+            return F.slice(lines, begin + 1, end - begin)
+
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(deleted)), between)), "\n")
+
+    # As an element of an array the lines are split once, whatever the number of pieces.
+    return F.get(F.transform(F.array(F.split(text, "\n", -1)), kept), F.lit(0))
+
+
 def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
     """All columns of ``docs`` with ``text`` cleaned, plus ``n_lines`` (not blank) and ``deleted`` (line numbers).
 
@@ -148,19 +163,7 @@ def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int |
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     joined = rows.join(counts, F.col("_row.doc_id") == F.col("_of"), "left").withColumn("text", F.col("_row.text"))
 
-    @F.pandas_udf("string")
-    def without(texts, deleted):
-        import pandas as pd
-
-        out = []
-        for text, numbers in zip(texts, deleted):
-            drop = set(numbers)
-            out.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop))
-        return pd.Series(out, dtype=object)
-
-    cleaned = F.when(F.col("deleted").isNull(), F.col("text")).otherwise(
-        without(F.coalesce("text", F.lit("")), F.coalesce("deleted", F.array().cast("array<long>")))
-    )
+    cleaned = F.when(F.col("deleted").isNull(), F.col("text")).otherwise(_without(F.coalesce("text", F.lit("")), F.col("deleted")))
     return joined.select(
         *[cleaned.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns if c not in ("n_lines", "deleted")],
         F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
