@@ -134,13 +134,16 @@ def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES, long_words: int
 
 
 def _without(text: Column, deleted: Column) -> Column:
-    """The text without the lines of these numbers, which ascend: the lines between each two of them, joined."""
+    """The text without the lines of these numbers: the lines between each two of them, joined.
+
+    Numbers ascend; some may be equal or beyond the text, where rows share a doc_id.
+    """
 
     def kept(lines: Column) -> Column:
         def between(i: Column) -> Column:
             begin = F.when(i == 0, F.lit(0)).otherwise(F.get(deleted, i - 1).cast("int") + 1)
-            end = F.when(i == F.size(deleted), F.size(lines)).otherwise(F.get(deleted, i).cast("int"))
-            return F.slice(lines, begin + 1, end - begin)
+            end = F.least(F.size(lines), F.get(deleted, i).cast("int"))  # least ignores the null after the last
+            return F.slice(lines, begin + 1, F.greatest(end - begin, F.lit(0)))
 
         return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(deleted)), between)), "\n")
 

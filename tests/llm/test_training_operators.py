@@ -580,6 +580,13 @@ def test_later_line_runs_go(documents):
     assert linedup.line_digests(documents([])).count() == 0
 
 
+def test_lines_go_by_number(spark):
+    cases = [("a\nb\nc\nd", [0, 2]), ("a\nb", [0, 1]), ("", [0]), ("a\n\nb\n", [1, 1, 1]), ("a\nb", [1, 1, 5, 9]), ("a", [])]
+    table = spark.createDataFrame([(i, t, d) for i, (t, d) in enumerate(cases)], "i int, text string, deleted array<long>")
+    got = [r.t for r in table.select("i", linedup._without(F.col("text"), F.col("deleted")).alias("t")).orderBy("i").collect()]
+    assert got == ["\n".join(x for k, x in enumerate(t.split("\n")) if k not in d) for t, d in cases]
+
+
 def test_a_run_names_the_place_it_was_copied_from(documents):
     rows = [(1, "x\nl1\nl2\nl3\nl4\ny"), (2, "l1\nl2\nz"), (3, "q\nl1\nl2\nl3\nl4\nr")]
     got = [(x.doc_id, x.start, x.lines, x.deleted, x.source_doc_id, x.source_place) for x in linedup.repeated_runs(linedup.line_ids(documents(rows))).orderBy("doc_id").collect()]
