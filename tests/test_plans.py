@@ -174,3 +174,11 @@ def test_sql_functions_prune_and_limit(spark, functions):
 def test_sql_arguments_are_values(spark, functions):
     assert spark.sql("SELECT * FROM stored_stock_series(:code)", args={"code": "1' OR '1'='1"}).isEmpty()
     assert spark.sql("SELECT * FROM stored_return_ranking(0)").isEmpty()
+
+
+def test_bronze_stats_neither_expands_nor_sorts_rows(spark):
+    rows = spark.createDataFrame([("2000-01-03", "1"), ("2000-01-03", "1"), ("2000-01-04", None), (None, "2")], "Date string, Code string")
+    stats = reports.bronze_stats(rows)
+    assert not re.search(r"\bExpand\b|\bSort \[", plan_of(stats))
+    assert [tuple(r) for r in stats.collect()] == [("2000-01-04", 2, 2, 4)]
+    assert [tuple(r) for r in reports.bronze_stats(rows.limit(0)).collect()] == [(None, 0, 0, 0)]
