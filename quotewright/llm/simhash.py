@@ -164,11 +164,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     ids = given.groupBy("doc_id").agg(F.max(F.length("text")).cast("long").alias("n_chars"), F.count(F.lit(1)).alias("rows"))
     counted = written(ids, "ids")
     order = written(followers(counted.select("doc_id", "n_chars")), "followers")
-    # Texts meet their neighbours by id in any case; only rows that share one are reduced first.
     several = counted.filter("rows > 1").select("doc_id", "rows")
-    texts = given.join(several, "doc_id", "left_anti").unionByName(
-        given.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
-    )
+    # The exchange that reduces rows of one id also deals the texts to both joins below; they read it again.
+    texts = given.groupBy("doc_id").agg(F.max("text").alias("text"))
     wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), F.floor(F.col("n_chars") / 4).alias("n"))
     lent = texts.join(wanted, "doc_id").select(
         F.col("for_id").alias("doc_id"), F.substr("text", F.lit(1), F.col("n").cast("int")).alias("lent"), F.col("n")

@@ -225,3 +225,19 @@ def test_stages_of_an_empty_table(spark, corpus, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, corpus.limit(0), sf_dir)
         assert none.count() == 0 and none.columns[: len(corpus.columns)] == corpus.columns
+
+
+def test_simhash_deals_whole_texts_once(spark, monkeypatch):
+    rows = [(i, f"w{i} some words of text {i}") for i in range(40)] + [(7, "another text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, write = [], simhash.written
+
+    def noted(df, name):
+        if name == "stretches":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "written", noted)
+    assert simhash.edited_fingerprints(docs).count() == 41
+    # Both joins read texts of one form, so that one exchange serves them; none is joined to be reduced.
+    assert len(plans) == 1 and "Union" not in plans[0] and "LeftAnti" not in plans[0]
