@@ -42,7 +42,7 @@ LONG_LINE = 50
 
 def _line_ids(batches):
     for batch in batches:
-        ids, texts = batch.column(0).to_numpy(), [(t or "").encode() for t in batch.column(1).to_pylist()]
+        ids, texts = batch.column(0).to_numpy(), wordhash.decoded(batch.column(1))
         for first, part in wordhash.chunks(texts):
             hashes, solid, counts = wordhash.line_hashes(part)
             owner = np.repeat(np.arange(len(part)), counts)

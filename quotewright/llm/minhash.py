@@ -108,7 +108,7 @@ def _groups(sets: list[np.ndarray]):
 def _describe(batches):
     """doc_id, n_shingles, the digest of the set (two numbers) and the bands."""
     for batch in batches:
-        ids, texts = batch.column(0), [(t or "").encode() for t in batch.column(1).to_pylist()]
+        ids, texts = batch.column(0), wordhash.decoded(batch.column(1))
         for first, part in wordhash.chunks(texts):
             sets = _sets(part, WIDTH)
             sizes = np.array([len(s) for s in sets], np.int64)
@@ -128,7 +128,7 @@ def _describe(batches):
 
 def _as_arrays(batches):
     for batch in batches:
-        ids, texts = batch.column(0), [(t or "").encode() for t in batch.column(1).to_pylist()]
+        ids, texts = batch.column(0), wordhash.decoded(batch.column(1))
         for first, part in wordhash.chunks(texts):
             sets = _sets(part, WIDTH)
             offsets = pa.array(np.cumsum([0] + [len(s) for s in sets]).astype(np.int32))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from quotewright.llm import bpe, langid, linedup, minhash, mixing, passages, periods, pii, simhash, toxicity
+from quotewright.llm import bpe, langid, linedup, minhash, mixing, passages, periods, pii, simhash, toxicity, wordhash
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = [f"w{i}" for i in range(3000)]
@@ -241,3 +241,21 @@ def test_simhash_deals_whole_texts_once(spark, monkeypatch):
     assert simhash.edited_fingerprints(docs).count() == 41
     # Both joins read texts of one form, so that one exchange serves them; none is joined to be reduced.
     assert len(plans) == 1 and "Union" not in plans[0] and "LeftAnti" not in plans[0]
+
+
+def test_texts_of_a_batch_are_decoded_chunk_by_chunk():
+    decoded = []
+
+    class Text:
+        def __init__(self, text):
+            self.text = text
+
+        def as_py(self):
+            decoded.append(self.text)
+            return self.text
+
+    many = [Text("x" * 1000 if i else None) for i in range(5000)]
+    chunks = wordhash.chunks(wordhash.decoded(many))
+    first, part = next(chunks)
+    assert first == 0 and part[0] == b"" and len(decoded) == len(part) + 1 < 1100
+    assert [t for _, p in [(first, part), *chunks] for t in p] == [b""] + [b"x" * 1000] * 4999
