@@ -361,6 +361,52 @@ def test_passages_are_found_whole_and_clean_texts_left_alone(documents):
     assert passages.repeated_passages(documents([])).count() == 0
 
 
+def test_dense_tokens_are_those_of_a_brute_force_search():
+    rng, core = np.random.default_rng(2), passages._CORE
+    counts = np.array([30, 0, 150, core, 90, core - 1])
+    for share in (0.6, 0.7, 0.75, 0.9, 1):
+        paired = rng.random(counts.sum()) < share
+        want = np.zeros(len(paired), bool)
+        for end, n in zip(np.cumsum(counts), counts):
+            for i in range(end - n, end):
+                for j in range(i + core, end + 1):
+                    if 4 * paired[i:j].sum() >= 3 * (j - i):
+                        want[i:j] = True
+        assert passages._dense(paired, counts).tolist() == want.tolist(), share
+
+
+def test_pairs_without_a_dense_part_are_refuted_together(monkeypatch):
+    own = [f"a{i}" for i in range(100)]
+    texts = {1: own, 2: own[:30] + [f"b{i}" for i in range(60)], 3: [f"c{i}" for i in range(20)] + own[10:90], 4: own[60:] + own[:30]}
+    tokens = {d: tokens_of(w) for d, w in texts.items()}
+    anchors = {2: [(5, 5)], 3: [(30, 20), (60, 50)], 4: [(5, 65), (45, 5)]}
+    want = [
+        (d, x, x + n + passages.WIDTH - 1, 1, y) for d, at in anchors.items() for x, y, n in passages._stretches(tokens[d], tokens[1], at)
+    ]
+    asked, stretches = [], passages._stretches
+    monkeypatch.setattr(passages, "_stretches", lambda a, *more: asked.append(len(a)) or stretches(a, *more))
+    rows = {
+        "doc_id": list(anchors), "source": [1] * 3, "begin": [0] * 3, "c": [[c for c, _ in at] for at in anchors.values()],
+        "d": [[d for _, d in at] for at in anchors.values()], "part": [tokens[d].tobytes() for d in anchors], "text": [" ".join(own)] * 3,
+    }
+    schema = pa.schema([("doc_id", pa.int64()), ("source", pa.int64()), ("begin", pa.int32()), ("c", pa.list_(pa.int32())), ("d", pa.list_(pa.int32())), ("part", pa.binary()), ("text", pa.string())])
+    batch = pa.RecordBatch.from_pydict(rows, schema)
+    for size in (1 << 20, 1):
+        monkeypatch.setattr(passages.wordhash, "CHUNK_BYTES", size)
+        asked.clear()
+        got = [x for out in passages._verified([batch, batch.slice(0, 0)]) for x in zip(*(c.to_pylist() for c in out.columns))]
+        assert got == want and {x[0] for x in got} == {3}
+        # The second one is not compared; the others may hold a stretch as far as their tokens tell.
+        assert asked == [len(tokens[3]), len(tokens[4])]
+
+
+def test_words_are_counted_in_copies_only(spark, documents):
+    docs = documents([(i, prose(i % 7, 60)) for i in range(20)])
+    plan = passages._copies(docs.select("doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
+    counted = [line for line in plan.splitlines() if "regexp" in line]
+    assert len(counted) == 1 and plan.index(counted[0]) < plan.index("Join")
+
+
 def test_functions_miss_fewer_than_one_in_a_thousand_at_the_threshold():
     n, p = passages.HASHES, 0.75
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.AGREE)) < 1e-3
