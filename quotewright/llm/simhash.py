@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from quotewright.llm.scratch import written
 
 BITS = 128
-#: Terms counted before the places are unpacked; times the largest weight, 3, it stays under 2**16.
-STRETCH = 20_000
+#: Terms counted before the places are unpacked; times the largest weight, 3, it stays under 2**15, for the sum's sign is the
+#: highest bit of its top place, and sums that leave the signed range are an error.
+STRETCH = 10_000
 #: Differing bits up to which texts count as near.
 NEAR = 15
 #: Numbers of blocks to choose from; half of them in each half of the fingerprint.
@@ -217,7 +218,8 @@ def near_members(members: DataFrame, queries: DataFrame, radius: int = NEAR, blo
     known = members.withColumn("key", _keys(blocks, 0))
     asked = queries.select("f0", "f1").distinct().withColumn("key", _keys(blocks, radius // blocks)).withColumnsRenamed({"f0": "q0", "f1": "q1"})
     apart = distance([F.col("f0"), F.col("f1")], [F.col("q0"), F.col("q1")])
-    met = asked.join(known, "key").withColumn("distance", apart).filter(F.col("distance") <= radius)
+    # Spark sees the size of the queries before their keys are turned, a thousand each with many fingerprints, and would send them all to the driver.
+    met = asked.join(known.hint("merge"), "key").withColumn("distance", apart).filter(F.col("distance") <= radius)
     return met.select("q0", "q1", "representative", "copies", "distance").distinct()
 
 

@@ -207,6 +207,15 @@ def test_fingerprints_tell_edits_from_neighbours(documents):
     assert min(got[3 * i].near_edited for i in range(29)) > max(got[3 * i].near_next for i in range(29))
 
 
+def test_one_term_repeated_all_through_a_long_text_has_its_own_hash_as_fingerprint(documents):
+    once = "abcdefgh ijklmnopq"
+    rows = [(1, once), (2, f"{once} " + f"{once} " * 12_000), (3, "abcdefgh " * 45_000), (4, "abcdefgh abcdefgh")]
+    got = {x.doc_id: x.fingerprint for x in simhash.with_near(simhash.edited_fingerprints(documents(rows))).collect()}
+    assert got[3] == got[4]
+    # One pair more than the reverse one: each decides the bits on which they differ.
+    assert got[2] == got[1]
+
+
 @pytest.mark.parametrize("blocks, radius", [(16, 15), (8, 15), (6, 15), (4, 15), (4, 3), (6, 0)])
 def test_no_fingerprint_within_the_radius_is_missed(spark, blocks, radius):
     r = random.Random(4)
@@ -222,6 +231,13 @@ def test_no_fingerprint_within_the_radius_is_missed(spark, blocks, radius):
     assert got == {(*halves(b), i, bin(b ^ p).count("1")) for b in base for i, p in enumerate(points) if bin(b ^ p).count("1") <= radius}
 
 
+def test_probes_do_not_all_go_to_the_driver(spark):
+    table = spark.createDataFrame([(i, -i, i, 1) for i in range(50)], "f0 long, f1 long, representative long, copies long")
+    met = simhash.near_members(table, table.filter("representative = 7"), blocks=6)
+    assert {x.representative for x in met.collect() if x.distance == 0} == {7}
+    assert "BroadcastHashJoin" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 def test_keys_grow_with_the_fingerprints():
     assert [simhash.blocks_for(10**n, 15) for n in (2, 5, 7, 9)] == [16, 8, 6, 4]
 
