@@ -61,9 +61,27 @@ def read_array(spark: SparkSession, path: str, record: T.StructType = QUOTE_RECO
     """Scan files that hold one JSON array each, every file by as many tasks as it has blocks.
 
     Same columns as ``read_records``. The files are read as text that is parted by closing braces,
-    which splits at any byte.
+    which splits at any byte. In a file where each piece but the last begins a record, and the last is the
+    end of the array, every piece is a record: only those of other files are exchanged to be put together.
     """
-    return records_of_pieces(_pieces(spark.read.option("lineSep", "}").text(path)), record)
+    pieces = _pieces(spark.read.option("lineSep", "}").text(path))
+    plain = F.broadcast(_plain_files(pieces))
+    single = pieces.join(plain, "file", "left_semi").filter(F.col("value").rlike(_RECORD_BEGINS))
+    joined = _joined_records(pieces.join(plain, "file", "left_anti"))
+    return _parsed(single.select("file", F.concat("value", F.lit("}")).alias("value")).union(joined), record)
+
+
+def _plain_files(pieces: DataFrame) -> DataFrame:
+    """The files in which the only piece that begins no record is the last one, the end of the array."""
+    other = ~F.col("value").rlike(_RECORD_BEGINS)
+    place = F.col("place")
+    blocks = pieces.withColumn("place", F.monotonically_increasing_id()).groupBy("file", "block").agg(
+        F.count(F.when(other, True)).alias("others"),
+        F.max("place").alias("last"),
+        F.max(F.when(other & F.col("value").rlike(r"^\s*\]\s*$"), place)).alias("end"),
+    )
+    files = blocks.groupBy("file").agg(F.sum("others").alias("others"), F.max(F.struct("block", "last", "end")).alias("of"))
+    return files.filter("others = 1 AND of.last = of.end").select("file")
 
 
 def stream_pieces(spark: SparkSession, path: str, max_files_per_batch: int | None = None) -> DataFrame:
@@ -86,6 +104,11 @@ def records_of_pieces(pieces: DataFrame, record: T.StructType = QUOTE_RECORD) ->
     that does not parse is one malformed record; the others of its file are kept, while the
     multi-line reader gives up the whole file. What stands between records is dropped.
     """
+    return _parsed(_joined_records(pieces), record)
+
+
+def _joined_records(pieces: DataFrame) -> DataFrame:
+    """``file, value``: the text of each record, put together from its pieces."""
     pieces = pieces.withColumn("place", F.monotonically_increasing_id())
     of_block = Window.partitionBy("file", "block").orderBy("place")
     begun = F.last(F.when(F.col("value").rlike(_RECORD_BEGINS), F.col("place")), ignorenulls=True).over(rows_so_far(of_block))
@@ -106,7 +129,10 @@ def records_of_pieces(pieces: DataFrame, record: T.StructType = QUOTE_RECORD) ->
     )
     # Behind the last brace of a file comes the end of the array; other records end with their brace.
     ended = F.when(F.col("tail"), F.regexp_replace("value", r"\s*\]?\s*$", "")).otherwise(F.concat("value", F.lit("}")))
-    whole = inner.union(edges.select("file", ended.alias("value")))
+    return inner.union(edges.select("file", ended.alias("value")))
+
+
+def _parsed(whole: DataFrame, record: T.StructType) -> DataFrame:
     text = F.regexp_replace("value", r"^\s*[\[,]?\s*", "")
     options = {"columnNameOfCorruptRecord": UNPARSED, "mode": "PERMISSIVE"}
     parsed = F.from_json("value", _with_unparsed(record), options)

@@ -7,13 +7,14 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quotewright.schemas import QUOTE_RECORD
 from quotewright.sinks import append_rows, compact, overwrite_table, replace_partitions, upsert
 from quotewright.sinks import tables as sink
 from quotewright.sources.catalog import TableNames, current_table, ensure_schemas, list_tables, table_exists
-from quotewright.sources import derived
+from quotewright.sources import derived, landing
 from quotewright.sources.landing import SOURCE_FILE, UNPARSED, listing_from_rows, read_array, read_records, split_records, with_audit
 
 SCHEMA = "day string, code string, v double, at int"
@@ -319,3 +320,52 @@ def test_landed_months_read_back(spark, folder):
     derived.land_arrays(records, f"{folder}/landed")
     got = read_array(spark, f"{folder}/landed").select(*QUOTE_RECORD.names)
     assert got.exceptAll(records).isEmpty() and records.exceptAll(got).isEmpty()
+
+
+def test_only_files_with_parted_records_are_put_together(spark, folder):
+    plain, tricky = [{"Date": "2024-01-05", "Code": "7203", "Close": float(i)} for i in range(40)], tricky_rows(6, 40)
+    (Path(folder) / "plain.json").write_text(json.dumps(plain) + "\n")
+    restore = small_blocks(spark, 200)
+    try:
+        whole = read_array(spark, folder)
+        assert by_file(whole) == by_file(read_records(spark, folder, layout="array"))
+        # Nothing is left to be gathered, so it goes from the plan while it runs.
+        final = whole.select("Code")
+        assert [r.Code for r in final.collect()] == ["7203"] * 40
+        assert "collect_list" not in final._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        (Path(folder) / "tricky.json").write_text(json.dumps(tricky))
+        # Braces beyond the last record, objects without an array and a file cut off behind a value.
+        (Path(folder) / "ends.json").write_text(json.dumps(plain[:3]) + "}")
+        (Path(folder) / "lines.json").write_text("\n".join(map(json.dumps, plain[:2])))
+        (Path(folder) / "cut.json").write_text(json.dumps(plain[:2])[:-2])
+        pieces = landing._pieces(spark.read.option("lineSep", "}").text(folder))
+        assert by_file(read_array(spark, folder)) == by_file(landing.records_of_pieces(pieces))
+        assert read_array(spark, folder).filter(F.col(UNPARSED).isNull()).count() > 80
+    finally:
+        restore()
+
+
+def test_records_by_month_are_the_quote_records(spark, folder):
+    r = random.Random(8)
+    rows = []
+    for i in range(400):
+        day = None if r.random() < 0.05 else date(1997, r.choice((11, 12)), r.randrange(12, 17))
+        gone = lambda x: None if r.random() < 0.05 else x  # noqa: B023, E731
+        rows.append((gone(i), r.randrange(1, 5), r.randrange(1, 9), gone(r.choice((9, 10, 11, 20))), gone(float(r.randrange(1, 50))), gone(r.randrange(100, 900) / 4), day))
+    rows += rows[:30]
+    schema = "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate date"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/lineitem.parquet")
+    records, by_month = derived.quote_records(spark, folder), derived.monthly_records(spark, folder)
+    assert by_month.columns == ["month", *records.columns]
+    got = by_month.drop("month")
+    assert got.exceptAll(records).isEmpty() and records.exceptAll(got).isEmpty()
+    # One exchange and one sort serve the bars and the arrays.
+    of_month = Window.partitionBy("month").orderBy("Date", "Code")
+    plan = by_month.withColumn("last", F.lead("Date").over(of_month).isNull())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+    derived.land_arrays(by_month, f"{folder}/by_month")
+    derived.land_arrays(records, f"{folder}/landed")
+    arrays = lambda path: {x.month: x.value for x in spark.read.option("wholetext", True).text(f"{folder}/{path}").collect()}
+    assert arrays("by_month").keys() == arrays("landed").keys()
+    dated = {k: v for k, v in arrays("by_month").items() if k is not None}
+    assert len(dated) == 2 and all(arrays("landed")[k] == v for k, v in dated.items())
