@@ -493,6 +493,43 @@ def test_a_periodic_text_repeats_in_pieces_that_do_not_overlap(documents):
     assert {k for a, b, _ in got for k in range(a, b)} >= set(range(76, 416))
 
 
+def test_marks_of_repeated_tokens_equal_a_count(monkeypatch):
+    r = random.Random(9)
+    texts = [" ".join(r.choice("abcdefgh") for _ in range(r.randrange(0, 90))) for _ in range(40)] + ["", None, "x"]
+    monkeypatch.setattr(passages.wordhash, "CHUNK_BYTES", 400)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    tokens = [passages._tokens([(t or "").encode()])[0] for t in texts]
+    # Equal to what another text or the text itself has; parts compare 32 bits and the part.
+    parts = 7
+    sent = pa.Table.from_batches(passages._sent(parts)(iter([batch])))
+    rows: dict[int, list] = {}
+    for part in range(parts):
+        for x in passages._repeated_bits(sent.filter(pc.equal(sent["part"], part))).to_pylist():
+            rows.setdefault(x.pop("doc_id"), []).append(x)
+    kind = pa.list_(pa.struct([("part", pa.int64()), ("bits", pa.binary())]))
+    marks = pa.array([rows.get(i) for i in range(len(texts))], kind)
+    flat = np.concatenate(tokens)
+    values, counts = np.unique(flat, return_counts=True)
+    wanted = counts[np.searchsorted(values, flat)] > 1
+    sizes = np.array([len(t) for t in tokens])
+    assert 0 < wanted.sum() < len(wanted)
+    assert passages._repeated(flat, sizes, marks, parts).tolist() == wanted.tolist()
+    half = int(sizes[:20].sum())
+    assert passages._repeated(flat[half:], sizes[20:], marks.slice(20), parts).tolist() == wanted[half:].tolist()
+    assert not passages._repeated(np.arange(3, dtype=np.uint64), np.array([3]), pa.array([None], kind), parts).any()
+
+
+def test_texts_nobody_asks_for_are_not_exchanged(spark):
+    ids = spark.range(5).withColumnRenamed("id", "doc_id")
+    plan = lambda few: spark.range(100).withColumnRenamed("id", "doc_id").join(few, "doc_id", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(passages._few(ids)) and "BroadcastHashJoin" not in plan(ids)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 # -- 7 -------------------------------------------------------------------
 
 
